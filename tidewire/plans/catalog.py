@@ -31,7 +31,7 @@ POSITIVE = [*lx.POSITIVE_WORDS, "with", "for", "from"]
 NEGATIVE = [*lx.NEGATIVE_WORDS, "was", "that", "this"]
 MATCH_AT = 0.3
 
-PATH_FROM, PATH_TO = "order:1", "region:2"
+PATH_FROM, PATH_TO = "order:1", "region:4"
 HUB = "order:1"
 
 Query = Callable[[SparkSession, str], DataFrame]

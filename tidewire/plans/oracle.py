@@ -472,13 +472,13 @@ QUALIFY row_number() OVER (PARTITION BY dedup_key ORDER BY event_ts, event_id) =
     normal = f"""
 normal AS (
   SELECT event_id, dedup_key, {strip("coalesce(title, '')")} AS title,
-         {squeeze("coalesce(nullif(content, ''), nullif(description, ''), '')")} AS content FROM {{0}})"""
-    sql["clean_normalize"] = ctes(ARTICLES, normal.format("articles")) + """
+         {squeeze("coalesce(nullif(content, ''), nullif(description, ''), '')")} AS content FROM @rows)"""
+    sql["clean_normalize"] = ctes(ARTICLES, normal.replace("@rows", "articles")) + """
 SELECT event_id, title, md5(content) AS content_md5, length(content) AS text_length FROM normal"""
     valid = """NOT (length(title) = 0 AND length(content) = 0)
   AND NOT (length(content) < 20 AND length(title) < 3)"""
     sql["clean_validate"] = art + f"SELECT event_id, title FROM articles WHERE {valid}"
-    sql["clean_chain"] = ctes(ARTICLES, normal.format("firsts")) + f"""
+    sql["clean_chain"] = ctes(ARTICLES, normal.replace("@rows", "firsts")) + f"""
 SELECT event_id, dedup_key, title, md5(content) AS content_md5, length(content) AS text_length
 FROM normal WHERE {valid}"""
     sql["xf_schema_map"] = art + """

@@ -14,12 +14,16 @@ from tidewire.session import scratch_dir
 def stream_table(
     spark: SparkSession, sf_dir: str, name: str, files_per_trigger: int | None = None
 ) -> DataFrame:
-    """A parquet table as a stream with the table's own schema."""
+    """A parquet table as a stream with the table's own schema.
+
+    The path is a pattern: a file stream takes a folder or a pattern, and the
+    table may be a folder of part files or one file.
+    """
     path = f"{sf_dir}/{name}.parquet"
     reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(path)
+    return reader.parquet(f"{path}*")
 
 
 def event_time(df: DataFrame, column: str, delay: str) -> DataFrame:
