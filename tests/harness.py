@@ -30,7 +30,7 @@ def plain(v):
     if isinstance(v, bool):
         return v
     if isinstance(v, float):
-        return v + 0.0 if v else 0.0
+        return repr(v)  # tells -0.0 from 0.0
     if isinstance(v, Decimal):
         return ("decimal", str(v))
     if isinstance(v, (datetime, date)):

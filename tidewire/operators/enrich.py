@@ -67,7 +67,7 @@ def extract_entities(
     return (
         df.withColumns(
             {
-                "_countries": F.array_sort(t.mentioned(lowered, countries, match)),
+                "_countries": F.sort_array(t.mentioned(lowered, countries, match)),
                 "_orgs": _organisations(acronyms, suffixes),
             }
         )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,14 +15,21 @@ def _lowered() -> Column:
     return F.lower(t.title_and_content())
 
 
-def conflict_articles(df: DataFrame) -> DataFrame:
+def conflict_articles(df: DataFrame, words: Iterable[str] = lx.CONFLICT_QUERY_WORDS) -> DataFrame:
     """Articles a conflict query would return, retyped."""
-    return df.filter(t.mentions_any(_lowered(), lx.CONFLICT_QUERY_WORDS)).withColumn(
+    return df.filter(t.mentions_any(_lowered(), words)).withColumn(
         "event_type", F.lit("conflict_intelligence")
     )
 
 
-def scan_conflict(df: DataFrame, escalation_rule: str = "last", match: str = "substring") -> DataFrame:
+def scan_conflict(
+    df: DataFrame,
+    escalation_rule: str = "last",
+    match: str = "substring",
+    triggers: Mapping[str, list[str]] = lx.ESCALATION_TRIGGERS,
+    zones: Iterable[str] = lx.CONFLICT_ZONES,
+    keywords: Iterable[str] = lx.CONFLICT_KEYWORDS,
+) -> DataFrame:
     """Escalation level, triggers, zones, keyword hits and severity.
 
     ``escalation_rule='last'``: levels are tried high, medium, low and the last
@@ -30,12 +37,12 @@ def scan_conflict(df: DataFrame, escalation_rule: str = "last", match: str = "su
     """
     order = {"last": ["low", "medium", "high"], "max": ["high", "medium", "low"]}[escalation_rule]
     low = _lowered()
-    hits = {lvl: t.mentions_any(low, words, match) for lvl, words in lx.ESCALATION_TRIGGERS.items()}
+    hits = {lvl: t.mentions_any(low, words, match) for lvl, words in triggers.items()}
     level = F.lit(None).cast("string")
     for name in reversed(order):
         level = F.when(hits[name], name).otherwise(level)
     level = F.coalesce(level, F.lit("low"))
-    every_trigger = [w for words in lx.ESCALATION_TRIGGERS.values() for w in words]
+    every_trigger = [w for words in triggers.values() for w in words]
     points = F.lit(lx.SEVERITY_POINTS["low"])
     for name, value in lx.SEVERITY_POINTS.items():
         points = F.when(F.col("escalation_level") == name, value).otherwise(points)
@@ -43,51 +50,73 @@ def scan_conflict(df: DataFrame, escalation_rule: str = "last", match: str = "su
         {
             "escalation_level": level,
             "matched_triggers": t.mentioned(low, every_trigger, match),
-            "active_zones": t.mentioned(low, lx.CONFLICT_ZONES, match),
-            "keyword_hits": t.count_true(t.mentions(low, k, match) for k in lx.CONFLICT_KEYWORDS),
+            "active_zones": t.mentioned(low, zones, match),
+            "keyword_hits": t.count_true(t.mentions(low, k, match) for k in keywords),
         }
     ).withColumn("severity_score", points)
 
 
-def _matched_by_label(lists: Mapping[str, list[str]], match: str) -> Column:
-    """Map label -> matched keywords, labels without a match left out."""
-    low = _lowered()
-    entries = F.array(
-        *[
-            F.struct(F.lit(label).alias("label"), t.mentioned(low, words, match).alias("matched"))
-            for label, words in lists.items()
-        ]
+def _matched_by_label(df: DataFrame, name: str, lists: Mapping[str, list[str]], match: str) -> DataFrame:
+    """Add map label -> matched keywords, labels without a match left out.
+
+    The texts are searched once into an array of keyword positions (compiled);
+    the map is then built from that short array.
+    """
+    keywords = [k for words in lists.values() for k in words]
+    listed = F.array(*[F.lit(k) for k in keywords])
+
+    def entry(label: str, first: int, last: int) -> Column:
+        own = F.filter("_at", lambda i: i.between(first, last))
+        names = F.transform(own, lambda i: F.element_at(listed, i))
+        return F.struct(F.lit(label).alias("label"), names.alias("matched"))
+
+    entries, at = [], 0
+    for label, words in lists.items():
+        entries.append(entry(label, at + 1, at + len(words)))
+        at += len(words)
+    kept = F.filter(F.array(*entries), lambda e: F.size(e["matched"]) > 0)
+    return (
+        df.withColumn("_at", t.mentioned_at(_lowered(), keywords, match))
+        .withColumn(name, F.map_from_entries(kept))
+        .drop("_at")
     )
-    return F.map_from_entries(F.filter(entries, lambda e: F.size(e["matched"]) > 0))
 
 
 def detect_economic(df: DataFrame, match: str = "substring") -> DataFrame:
     """Indicators with their matched keywords and counts, and primary sectors."""
-    return df.withColumns(
-        {
-            "indicators_detected": F.transform_values(
-                _matched_by_label(lx.ECONOMIC_INDICATORS, match),
-                lambda _, m: F.struct(m.alias("matched"), F.size(m).alias("count")),
-            ),
-            "primary_sectors": t.labels_mentioned(_lowered(), lx.SECTORS, match),
-        }
-    ).withColumn("indicator_count", F.size("indicators_detected"))
+    return (
+        _matched_by_label(df, "_matched", lx.ECONOMIC_INDICATORS, match)
+        .withColumns(
+            {
+                "indicators_detected": F.transform_values(
+                    "_matched", lambda _, m: F.struct(m.alias("matched"), F.size(m).alias("count"))
+                ),
+                "indicator_count": F.size("_matched"),
+                "primary_sectors": t.labels_mentioned(_lowered(), lx.SECTORS, match),
+            }
+        )
+        .drop("_matched")
+    )
 
 
 def detect_commodities(df: DataFrame, match: str = "substring") -> DataFrame:
     """Map commodity category -> mentioned commodities."""
-    return df.withColumn("commodities_mentioned", _matched_by_label(lx.COMMODITIES, match))
+    return _matched_by_label(df, "commodities_mentioned", lx.COMMODITIES, match)
 
 
 def classify_news(df: DataFrame, match: str = "substring") -> DataFrame:
     """News categories, ``['general']`` when none fits."""
-    found = t.labels_mentioned(_lowered(), lx.NEWS_CATEGORIES, match)
-    return df.withColumn(
-        "categories",
-        F.transform(
-            F.array(found), lambda c: F.when(F.size(c) > 0, c).otherwise(F.array(F.lit("general")))
-        )[0],
-    ).withColumn("category_count", F.size("categories"))
+    none = F.size("_found") == 0
+    return (
+        df.withColumn("_found", t.labels_mentioned(_lowered(), lx.NEWS_CATEGORIES, match))
+        .withColumns(
+            {
+                "categories": F.when(none, F.array(F.lit("general"))).otherwise(F.col("_found")),
+                "category_count": F.greatest(F.size("_found"), F.lit(1)),
+            }
+        )
+        .drop("_found")
+    )
 
 
 def weigh_sources(
@@ -114,23 +143,20 @@ def watch_mentions(
     The place list is unrolled into the row, so the texts are read once and
     only (kind, place, day) counts are shuffled.
     """
-    low = _lowered()
-    spotted = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    t.mentions(low, place, match),
-                    F.struct(F.lit(kind).alias("kind"), F.lit(place).alias("place")),
-                )
-                for kind, places in watchlist.items()
-                for place in places
-            ]
-        )
-    )
+    watched = [(kind, place) for kind, places in watchlist.items() for place in places]
+    kinds = F.array(*[F.lit(kind) for kind, _ in watched])
+    names = F.array(*[F.lit(place) for _, place in watched])
+    at = t.mentioned_at(_lowered(), [place for _, place in watched], match)
     daily = (
-        df.select(F.to_date("event_ts").alias("day"), F.inline(spotted))
-        .groupBy("kind", "place", "day")
+        df.select(F.to_date("event_ts").alias("day"), F.explode(at).alias("at"))
+        .groupBy("at", "day")
         .agg(F.count("*").alias("mentions"))
+        .select(
+            F.element_at(kinds, F.col("at")).alias("kind"),
+            F.element_at(names, F.col("at")).alias("place"),
+            "day",
+            "mentions",
+        )
     )
     days = Window.partitionBy("kind", "place")
     mean, spread = F.avg("mentions").over(days), F.stddev_pop("mentions").over(days)

@@ -69,7 +69,11 @@ def summarize(
     keywords = list(keywords)
 
     def rank(sentence: Column, i: Column) -> Column:
-        lifted = F.when(t.mentions_any(F.lower(sentence), keywords), bonus).otherwise(0)
+        # bound once: inside a lambda nothing is shared between the keyword tests
+        lowered = F.array(F.lower(sentence))
+        lifted = F.transform(
+            lowered, lambda low: F.when(t.mentions_any(low, keywords), bonus).otherwise(0)
+        )[0]
         points = F.size(t.tokens(sentence)) + lifted
         return F.struct((-points).alias("p"), i.alias("i"), sentence.alias("s"))
 

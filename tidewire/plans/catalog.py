@@ -25,11 +25,20 @@ from tidewire.streaming import sinks, streams
 
 RUN_TS = "2024-02-01T00:00:00"
 START = "2024-01-01"
-# The tables hold invented prose, which the news lexicons hardly touch; these
-# frequent words are added so that every branch of the rules is reached.
+# The tables hold invented prose, which the news lexicons hardly touch; frequent
+# words and syllables of it are added so that every branch of the rules is reached.
 POSITIVE = [*lx.POSITIVE_WORDS, "with", "for", "from"]
 NEGATIVE = [*lx.NEGATIVE_WORDS, "was", "that", "this"]
 MATCH_AT = 0.3
+CONFLICT_WORDS = [*lx.CONFLICT_QUERY_WORDS, "thtion"]
+TRIGGERS = {
+    "high": [*lx.ESCALATION_TRIGGERS["high"], "thtion"],
+    "medium": [*lx.ESCALATION_TRIGGERS["medium"], "ierung", "ement"],
+    "low": [*lx.ESCALATION_TRIGGERS["low"], "blely"],
+}
+ZONES = [*lx.CONFLICT_ZONES, "ention", "schung"]
+CONFLICT_HITS = [*lx.CONFLICT_KEYWORDS, "tion", "ment", "lich"]
+WATCHED = {**lx.WATCHLIST, "syllable": ["thtion", "ention", "ement"]}
 
 PATH_FROM, PATH_TO = "order:1", "region:4"
 HUB = "order:1"
@@ -91,7 +100,7 @@ def src_gdelt(spark, sf_dir):
 
 @query
 def src_gdelt_conflict(spark, sf_dir):
-    return intel.conflict_articles(articles(spark, sf_dir)).select("event_id", "event_type", "title", "source_name")
+    return intel.conflict_articles(articles(spark, sf_dir), CONFLICT_WORDS).select("event_id", "event_type", "title", "source_name")
 
 
 @query
@@ -338,7 +347,7 @@ def nlp_embed(spark, sf_dir):
 @query
 def intel_conflict(spark, sf_dir):
     return rounded(
-        intel.scan_conflict(articles(spark, sf_dir)).select(
+        intel.scan_conflict(articles(spark, sf_dir), triggers=TRIGGERS, zones=ZONES, keywords=CONFLICT_HITS).select(
             "event_id", "escalation_level", flat("matched_triggers").alias("matched_triggers"),
             flat("active_zones").alias("active_zones"), "keyword_hits", "severity_score",
         )
@@ -387,9 +396,7 @@ def news_credibility(spark, sf_dir):
 
 @query
 def watchlist_mentions(spark, sf_dir):
-    """Besides the watched places, syllables the invented prose is full of."""
-    watched = {**lx.WATCHLIST, "syllable": ["thtion", "ention", "ement"]}
-    return intel.watch_mentions(articles(spark, sf_dir), watched).withColumn("day", day_text("day"))
+    return intel.watch_mentions(articles(spark, sf_dir), WATCHED).withColumn("day", day_text("day"))
 
 
 @query

@@ -9,8 +9,11 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from tidewire.functions import lexicons as lx
-from tidewire.functions.text import SPACE
-from tidewire.plans.catalog import HUB, MATCH_AT, NEGATIVE, PATH_FROM, PATH_TO, POSITIVE, RUN_TS
+from tidewire.functions.text import SPACE_CLASS as SPACE
+from tidewire.plans.catalog import (
+    CONFLICT_HITS, CONFLICT_WORDS, HUB, MATCH_AT, NEGATIVE, PATH_FROM, PATH_TO, POSITIVE, RUN_TS,
+    TRIGGERS, WATCHED, ZONES,
+)
 
 BODY = "coalesce(title, '') || ' ' || coalesce(content, '')"
 LOW = f"lower({BODY})"
@@ -436,7 +439,7 @@ SELECT event_id AS gdelt_doc_id, 'gdelt' AS source, 'news_article' AS event_type
        0.0::DOUBLE AS tone FROM articles"""
     sql["src_gdelt_conflict"] = lowered + f"""
 SELECT event_id, 'conflict_intelligence' AS event_type, title, source_name FROM lows
-WHERE {has_any(lx.CONFLICT_QUERY_WORDS)}"""
+WHERE {has_any(CONFLICT_WORDS)}"""
     sql["src_newsapi"] = art + """
 SELECT 'newsapi' AS source, 'news_article' AS event_type, title, description, md5(content) AS content_md5, url,
        source_name, published FROM articles"""
@@ -521,14 +524,14 @@ FROM feats"""
 SELECT event_id, {SCORE} AS score, {LABEL} AS label, p AS positive_words, n AS negative_words FROM pn"""
     sql["nlp_summary"] = ctes(ARTICLES, SUMMARY_SENTENCES) + "SELECT event_id, summary FROM summaries"
     level = " ".join(
-        f"WHEN {has_any(lx.ESCALATION_TRIGGERS[x])} THEN '{x}'" for x in ("low", "medium", "high")
+        f"WHEN {has_any(TRIGGERS[x])} THEN '{x}'" for x in ("low", "medium", "high")
     )
-    triggers = [w for ws in lx.ESCALATION_TRIGGERS.values() for w in ws]
+    triggers = [w for ws in TRIGGERS.values() for w in ws]
     sql["intel_conflict"] = lowered + f"""
 SELECT *, CAST(CASE escalation_level WHEN 'high' THEN 10 WHEN 'medium' THEN 5 ELSE 1 END AS BIGINT) AS severity_score
 FROM (SELECT event_id, CASE {level} ELSE 'low' END AS escalation_level, {joined(found(triggers))} AS matched_triggers,
-             {joined(found(lx.CONFLICT_ZONES))} AS active_zones,
-             {_words_count(lx.CONFLICT_KEYWORDS)} AS keyword_hits FROM lows)"""
+             {joined(found(ZONES))} AS active_zones,
+             {_words_count(CONFLICT_HITS)} AS keyword_hits FROM lows)"""
     indicators = present(
         (has_any(ws), f"{{'indicator': {lit(k)}, 'matched': {found(ws)}}}") for k, ws in lx.ECONOMIC_INDICATORS.items()
     )
@@ -555,9 +558,8 @@ FROM (SELECT event_id, {categories} AS cats FROM (SELECT event_id, {labels(lx.NE
                     ELSE source_name END AS source_name) FROM articles)"""
     sql["news_credibility"] = ctes(ARTICLES, renamed) + f"""
 SELECT event_id, source_name, {weigh} AS source_credibility, {weigh} AS source_weight FROM renamed"""
-    watched = {**lx.WATCHLIST, "syllable": ["thtion", "ention", "ement"]}
     spots = present(
-        (has(p), f"{{'kind': {lit(k)}, 'place': {lit(p)}}}") for k, ps in watched.items() for p in ps
+        (has(p), f"{{'kind': {lit(k)}, 'place': {lit(p)}}}") for k, ps in WATCHED.items() for p in ps
     )
     sql["watchlist_mentions"] = ctes(ARTICLES, f"lows AS (SELECT *, {LOW} AS low FROM articles)", f"""spotted AS (
   SELECT strftime(event_ts, '%Y-%m-%d') AS day, unnest({spots}) AS h FROM lows)""", """daily AS (
@@ -731,7 +733,7 @@ FROM trends t JOIN top_analogs a ON a.source_name = t.source_name AND a.rank = 1
 SELECT "language", day, strftime(DATE '{RUN_TS[:10]}' + CAST(day AS INTEGER), '%Y-%m-%d') AS date,
        round(v, 4) AS predicted_sentiment, round(v - 0.1, 4) AS lower_bound, round(v + 0.1, 4) AS upper_bound, trend,
        round(confidence, 6) AS confidence, round(avg_sentiment, 6) AS start, round(avg_sentiment + drift * 30, 4) AS "end",
-       round(round(avg_sentiment + drift * 30, 4) - avg_sentiment, 4) AS change FROM projected"""
+       round(round(avg_sentiment + drift * 30, 4) - avg_sentiment, 4) + 0.0 AS change FROM projected"""
     sql["fc_linear"] = ctes(SERIES) + """
 SELECT series_id, 'linear' AS model, step, round(last + slope * step, 6) AS value, round(slope, 6) AS trend
 FROM fitted, (SELECT unnest(range(1, 31)) AS step)"""

@@ -62,6 +62,18 @@ def cut_lineage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on a small input.
+
+    A table read with fewer tasks than there are cores (few files, or one large
+    row group) leaves most of them idle under text work, so its rows are dealt
+    out. Inputs with more partitions than cores, that is all large ones, are
+    returned as they are and never shuffled here.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def chain(*steps: Step) -> Step:
     """Compose operators left to right into one operator."""
     return lambda df: functools.reduce(lambda acc, step: step(acc), steps, df)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewire.session import spread
+
 ARTICLE_COLUMNS = [
     "event_id", "source", "event_type", "event_ts", "title", "content",
     "description", "url", "source_name", "language", "published",
@@ -42,7 +44,7 @@ def published_text(key: Column, ts: Column) -> Column:
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return articles_of(table(spark, sf_dir, "documents"))
+    return articles_of(spread(table(spark, sf_dir, "documents")))
 
 
 def articles_of(documents: DataFrame) -> DataFrame:

@@ -69,6 +69,8 @@ def graph_writer(root: str) -> BatchFn:
 
     def write(batch: DataFrame, batch_id: int) -> None:
         folder = f"batch_id={batch_id}"
+        narrow = batch.select("event_id", "title", "source", "published", "url", "entities", "sentiment")
+        batch = cut_lineage(narrow, "graph-batch")
         nodes = graph.build_nodes(batch).select("id", "type", "label")
         edges = graph.merge_edges(graph.build_edges(batch))
         nodes.write.mode("overwrite").parquet(f"{root}/nodes/{folder}")
