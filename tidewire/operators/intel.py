@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewire.functions import lexicons as lx
 from tidewire.functions import text as t
+from tidewire.session import pin
 
 
 def _lowered() -> Column:
@@ -76,7 +77,7 @@ def _matched_by_label(df: DataFrame, name: str, lists: Mapping[str, list[str]],
         at += len(words)
     kept = F.filter(F.array(*entries), lambda e: F.size(e["matched"]) > 0)
     return (
-        df.withColumn("_at", t.mentioned_at(_lowered(), keywords, match))
+        pin(df, "_at", t.mentioned_at(_lowered(), keywords, match))
         .withColumn(name, F.map_from_entries(kept))
         .drop("_at")
     )

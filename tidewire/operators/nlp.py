@@ -103,7 +103,7 @@ def _hashed_vectors(dim: int):
             rows = np.repeat(np.arange(n), lengths)
             sign = np.where(flat >= dim, -1.0, 1.0)
             cells = rows * dim + flat % dim
-            out = np.bincount(cells, weights=sign, minlength=n * dim).reshape(n, dim)
+            out = np.bincount(cells, weights=sign, minlength=n * dim).astype(np.float64).reshape(n, dim)
             norm = np.linalg.norm(out, axis=1, keepdims=True)
             out = np.divide(out, norm, out=np.zeros_like(out), where=norm > 0)
             offsets = np.arange(0, (n + 1) * dim, dim, dtype=np.int32)

@@ -7,7 +7,8 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -74,6 +75,15 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def pin(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column that is computed once per row, whatever reads it.
+
+    The optimizer copies a plain column into the filters and lambdas above it,
+    where it is evaluated again and again; it does not look through a generator.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def chain(*steps: Step) -> Step:
     """Compose operators left to right into one operator."""
     return lambda df: functools.reduce(lambda acc, step: step(acc), steps, df)
