@@ -75,15 +75,15 @@ def read_newsapi(
 def read_rss(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
     """Landed feeds, one row per ``<item>``; ``feed`` is the file the item came from.
 
-    Missing elements read as ''. A file that is not well formed yields the items
-    that can be read instead of failing the run.
+    Missing elements read as ''. Of a file that is not well formed the items that
+    can be read are kept and the rest is skipped, so a bad feed fails no run.
     """
     reader = spark.readStream if stream else spark.read
     items = (
         reader.format("xml")
         .schema(RSS_SCHEMA)
         .option("rowTag", "item")
-        .option("mode", "PERMISSIVE")
+        .option("mode", "DROPMALFORMED")
         .option("ignoreSurroundingSpaces", False)
         .load(path)
     )
