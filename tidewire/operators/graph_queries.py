@@ -20,11 +20,12 @@ def neighbors(edges: DataFrame, node: str) -> DataFrame:
 def subgraph(nodes: DataFrame, edges: DataFrame, members: DataFrame) -> DataFrame:
     """Node and edge counts of the graph induced by ``members(id)``.
 
-    Members are unique, so each semi join has at most one skewed (left) side.
+    Node ids are made distinct before they are joined, so a hub counts once;
+    the edge side of the semi joins may be skewed, which adaptive execution splits.
     """
     members = members.select("id").distinct()
     ends = edges.select(F.explode(F.array("source", "target")).alias("id"))
-    known = nodes.select("id").unionByName(ends).join(members, "id", "left_semi").distinct()
+    known = nodes.select("id").unionByName(ends).distinct().join(members, "id", "left_semi")
     inside = (
         edges.select("source", "target")
         .join(members.withColumnRenamed("id", "source"), "source", "left_semi")
@@ -115,6 +116,23 @@ def first_sources(edges: DataFrame, nodes: DataFrame | None = None, n: int = 3)
     )
 
 
+def reachable_edges(edges: DataFrame, starts: DataFrame, max_hops: int) -> DataFrame:
+    """Edges that leave a node within ``max_hops - 1`` hops of ``starts(node)``.
+
+    Only new node ids are written per round; the search stops as soon as a round
+    finds none, and the edges are picked once at the end.
+    """
+    frontier = seen = starts.select("node")
+    for hop in range(max_hops - 1):
+        out = edges.join(frontier, edges["source"] == frontier["node"], "left_semi")
+        fresh = out.select(F.col("target").alias("node")).distinct().join(seen, "node", "left_anti")
+        frontier = cut_lineage(fresh, f"front{hop}")
+        if frontier.isEmpty():
+            break
+        seen = seen.unionByName(frontier)
+    return cut_lineage(edges.join(seen, edges["source"] == seen["node"], "left_semi"), "reachable")
+
+
 def causal_paths(
     edges: DataFrame,
     target: str,
@@ -126,9 +144,9 @@ def causal_paths(
 ) -> DataFrame:
     """Simple paths of at most ``max_edges`` edges to ``target``, shortest first.
 
-    Backwards from the target, each round marks the nodes that can still reach
-    it in the hops that are left; the forward expansion joins only edges into
-    such nodes, so no partial path is built that cannot arrive.
+    The graph is first cut down to the edges the sources can reach. Backwards
+    from the target, each node gets the number of hops it still needs; paths are
+    only grown into nodes that can arrive in the hops that are left.
     """
     spark = edges.sparkSession
     if sources is None:
@@ -137,19 +155,18 @@ def causal_paths(
         starts = sources.select("node").orderBy("node").limit(max_sources)
     else:
         starts = spark.createDataFrame([(s,) for s in list(sources)[:max_sources]], "node string")
-    links = edges.select("source", "target", "relation", "weight")
-
-    at_target = spark.createDataFrame([(target,)], "node string")
-    reach = [at_target]
-    for i in range(max_edges - 1):
-        back = (
-            links.select("source", F.col("target").alias("node"))
-            .join(reach[-1], "node", "left_semi")
-            .select(F.col("source").alias("node"))
-            .unionByName(reach[-1])
-            .distinct()
-        )
-        reach.append(cut_lineage(back, f"reach{i}"))
+    starts = cut_lineage(starts, "starts")
+    links = reachable_edges(edges.select("source", "target", "relation", "weight"), starts, max_edges)
+
+    # Hops still needed from each node: a backward search over new nodes only.
+    frontier = to_go = spark.createDataFrame([(target, 0)], "node string, need int")
+    for need in range(1, max_edges):
+        back = links.select("source", F.col("target").alias("node")).join(frontier, "node", "left_semi")
+        fresh = back.select(F.col("source").alias("node")).distinct().join(to_go, "node", "left_anti")
+        frontier = cut_lineage(fresh.withColumn("need", F.lit(need)), f"need{need}")
+        if frontier.isEmpty():
+            break
+        to_go = to_go.unionByName(frontier)
 
     step = F.struct("source", "target", "relation", "weight")
     partial = starts.filter(F.col("node") != target).select(
@@ -159,9 +176,8 @@ def causal_paths(
     )
     found = None
     for hop in range(1, max_edges + 1):
-        useful = links.join(
-            reach[max_edges - hop].withColumnRenamed("node", "target"), "target", "left_semi"
-        )
+        near = to_go.filter(F.col("need") <= max_edges - hop).select(F.col("node").alias("target"))
+        useful = links.join(near, "target", "left_semi")
         grown = (
             useful.join(partial, useful["source"] == partial["node"])
             .filter(~F.array_contains("path", F.col("target")))
@@ -178,6 +194,8 @@ def causal_paths(
         if found.limit(max_paths).count() == max_paths:
             break
         partial = grown.filter(F.col("node") != target)
+        if partial.isEmpty():
+            break
     return (
         found.select("path", (F.size("path") - 1).alias("length"), "edges")
         .orderBy("length", "path")

@@ -518,9 +518,12 @@ def daily_graph(spark, sf_dir):
 def graph_upsert(spark, sf_dir):
     """Articles stream into the stored graph, then a revision of the month's second half."""
     root = scratch_dir(spark, "graph")
-    stream = adapters.articles_of(streams.stream_table(spark, sf_dir, "documents"))
-    tagged = nlp.score_sentiment(enrich.extract_entities(stream), POSITIVE, NEGATIVE)
-    sinks.run_batches(tagged, sinks.graph_writer(root), "graph")
+
+    def tagged(batch: DataFrame) -> DataFrame:
+        return nlp.score_sentiment(enrich.extract_entities(adapters.articles_of(batch)), POSITIVE, NEGATIVE)
+
+    write = sinks.prepared(sinks.graph_writer(root), tagged)
+    sinks.run_batches(streams.stream_table(spark, sf_dir, "documents"), write, "graph")
     middle = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
     revised = _tagged(spark, sf_dir).filter(F.col("event_ts") >= middle)
     sinks.graph_writer(root)(revised, 1)
@@ -727,15 +730,14 @@ def explain_text(spark, sf_dir):
 # ---- forecasts and back-tests --------------------------------------------
 
 
-def _language_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    per_language = features.aggregate_features(feature_rows(spark, sf_dir), "language")
-    return signals.with_signals(per_language)
+def _language_aggregates(rows: DataFrame) -> DataFrame:
+    return signals.with_signals(features.aggregate_features(rows, "language"))
 
 
 @query
 def fc_drift(spark, sf_dir):
     return rounded(
-        forecast.drift_forecast(_language_aggregates(spark, sf_dir), "language", run_date=RUN_TS[:10])
+        forecast.drift_forecast(_language_aggregates(feature_rows(spark, sf_dir)), "language", run_date=RUN_TS[:10])
     )
 
 
@@ -754,9 +756,7 @@ def fc_ensemble(spark, sf_dir):
     """Linear, growth and drift forecasts of each language's daily sentiment."""
     rows = cut_lineage(feature_rows(spark, sf_dir), "features")
     series = flows.signal_series(rows, "language", START)
-    drift = forecast.drift_forecast(
-        signals.with_signals(features.aggregate_features(rows, "language")), "language", run_date=RUN_TS[:10]
-    ).select(
+    drift = forecast.drift_forecast(_language_aggregates(rows), "language", run_date=RUN_TS[:10]).select(
         F.col("language").alias("series_id"), F.lit("drift").alias("model"),
         F.col("day").alias("step"), F.col("predicted_sentiment").alias("value"),
     )
@@ -768,23 +768,23 @@ def fc_ensemble(spark, sf_dir):
     return rounded(forecast.ensemble(models), 4)
 
 
-def _positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _positions(rows: DataFrame) -> DataFrame:
     """Strategies are languages: their daily signals set the position."""
-    by_day = cut_lineage(features.daily_features(feature_rows(spark, sf_dir), "language"), "days").withColumnRenamed(
+    by_day = cut_lineage(features.daily_features(rows, "language"), "days").withColumnRenamed(
         "language", "strategy_id"
     )
     fired = signals.generate_daily_signals(by_day, "strategy_id", "day")
     return backtest.positions(fired, by_day.select("strategy_id", "day"))
 
 
-def _accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    priced = _positions(spark, sf_dir).join(adapters.daily_prices(spark, sf_dir), "day")
-    return backtest.simulate(priced)
+def _accounts(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
+    rows = feature_rows(spark, sf_dir) if rows is None else rows
+    return backtest.simulate(_positions(rows).join(adapters.daily_prices(spark, sf_dir), "day"))
 
 
 @query
 def bt_positions(spark, sf_dir):
-    return rounded(_positions(spark, sf_dir).withColumn("day", day_text("day")))
+    return rounded(_positions(feature_rows(spark, sf_dir)).withColumn("day", day_text("day")))
 
 
 @query
@@ -809,8 +809,9 @@ def bt_metrics_fixed(spark, sf_dir):
 
 @query
 def bt_report(spark, sf_dir):
-    accounts = cut_lineage(_accounts(spark, sf_dir), "accounts")
-    trends = forecast.with_trend(_language_aggregates(spark, sf_dir)).select(
+    rows = cut_lineage(feature_rows(spark, sf_dir), "features")
+    accounts = cut_lineage(_accounts(spark, sf_dir, rows), "accounts")
+    trends = forecast.with_trend(_language_aggregates(rows)).select(
         F.col("language").alias("strategy_id"), "trend", F.lit(forecast.HORIZON).alias("horizon_days")
     )
     return rounded(backtest.report(accounts, trends).drop("report"), 4)
@@ -878,9 +879,13 @@ def stream_out(spark, sf_dir):
 def sink_tables(spark, sf_dir):
     """Feature rows streamed into a table partitioned by day, counted from the table."""
     path = scratch_dir(spark, "sink")
-    stream = adapters.articles_of(streams.stream_table(spark, sf_dir, "documents"))
-    rows = flows.feature_rows(stream, POSITIVE, NEGATIVE).withColumn("day", F.to_date("event_ts"))
-    sinks.run_batches(rows, sinks.batch_writer(path, "day"), "sink")
+
+    def rows(batch: DataFrame) -> DataFrame:
+        found = flows.feature_rows(adapters.articles_of(batch), POSITIVE, NEGATIVE)
+        return found.withColumn("day", F.to_date("event_ts"))
+
+    write = sinks.prepared(sinks.batch_writer(path, "day"), rows)
+    sinks.run_batches(streams.stream_table(spark, sf_dir, "documents"), write, "sink")
     return (
         spark.read.parquet(path)
         .groupBy(day_text("day").alias("day"))
