@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 Step = Callable[[DataFrame], DataFrame]
 
+_LOCAL_ROOTS: dict[str, str] = {}  # application -> folder, on local masters without a shared one
+
 
 def build_session(app: str = "tidewire", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings the operators expect.
@@ -41,9 +43,10 @@ def _shared_root(spark: SparkSession) -> str:
         return root
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="tidewire-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="tidewire-")
+    return _LOCAL_ROOTS[app]
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
