@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import pii, quality, sharding, urls
+from tidewire.llm import bpe, fingerprints, pii, quality, sharding, urls, wordpiece
 from tidewire.llm.tables import table
 from tidewire.session import scratch_dir
 
 
+WORD_PIECES = public_tokenizers.path("piece_bpe_32k.model")
+BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def op2_longest_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wordpiece.count_tokens(table(spark, sf_dir, "documents"), wordpiece.vocabulary(WORD_PIECES))
+
+
 def op3_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))[0]
 
@@ -22,6 +31,22 @@ def op5_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def token_digests(docs: DataFrame) -> DataFrame:
+    """Ids and decoded bytes of every text, reduced to digests beside the other columns."""
+    tokenizer = bpe.Tokenizer(docs.sparkSession, BYTE_RANKS, public_tokenizers.PATTERN)
+    decoded = tokenizer.decode(tokenizer.encode(docs))
+    return decoded.select(
+        *[c for c in docs.columns if c != "text"],
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
+    )
+
+
+def op6_rank_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = pii.pseudonymize_documents(table(spark, sf_dir, "documents").withColumn("_before", F.col("text")))
     return docs.select("doc_id", "text", (~F.col("text").eqNullSafe(F.col("_before"))).alias("changed"))
@@ -31,8 +56,15 @@ def op8_redirect_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_pages(table(spark, sf_dir, "pages"))
 
 
+def op10_quartile_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op3_decision_list, op5_virtual_slots, op7_pseudonyms, op8_redirect_classes)
+    for f in (
+        op2_longest_match, op3_decision_list, op5_virtual_slots, op6_rank_queue, op7_pseudonyms,
+        op8_redirect_classes, op10_quartile_digest,
+    )
 }
 ORACLES: dict[str, str] = {}
