@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import bpe, fingerprints, pii, quality, sharding, urls, wordpiece
+from tidewire.llm import bpe, fingerprints, pii, quality, sharding, suffixes, urls, wordpiece
 from tidewire.llm.tables import table
 from tidewire.session import scratch_dir
 
@@ -56,6 +56,12 @@ def op8_redirect_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_pages(table(spark, sf_dir, "pages"))
 
 
+def op9_prefix_subtrees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"), F.size("spans").alias("n_spans")
+    )
+
+
 def op10_quartile_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
@@ -64,7 +70,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op2_longest_match, op3_decision_list, op5_virtual_slots, op6_rank_queue, op7_pseudonyms,
-        op8_redirect_classes, op10_quartile_digest,
+        op8_redirect_classes, op9_prefix_subtrees, op10_quartile_digest,
     )
 }
 ORACLES: dict[str, str] = {}
