@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import bpe, fingerprints, pii, quality, sharding, suffixes, urls, wordpiece
+from tidewire.llm import bpe, fingerprints, pii, quality, sharding, suffixes, urls, weighted, wordpiece
 from tidewire.llm.tables import table
 from tidewire.session import scratch_dir
 
@@ -23,6 +23,10 @@ def op3_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))[0]
 
 
+def op4_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted.near_duplicates(table(spark, sf_dir, "documents"))[0].select("doc_id", "class_id", "n_in_class")
+
+
 def op5_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed, _ = sharding.shard_documents(table(spark, sf_dir, "documents"), map_path=scratch_dir(spark, "slot-map"))
     return placed.select(
@@ -69,7 +73,7 @@ def op10_quartile_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op2_longest_match, op3_decision_list, op5_virtual_slots, op6_rank_queue, op7_pseudonyms,
+        op2_longest_match, op3_decision_list, op4_weighted_sampling, op5_virtual_slots, op6_rank_queue, op7_pseudonyms,
         op8_redirect_classes, op9_prefix_subtrees, op10_quartile_digest,
     )
 }
