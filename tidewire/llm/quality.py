@@ -66,14 +66,15 @@ def _repeat_words(windows: Column, n_words: Column) -> Column:
     return F.when(size == F.size(F.array_distinct(windows)), F.lit(0)).otherwise(F.coalesce(covered, F.lit(0)))
 
 
-def text_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, n_distinct, base_failed.
+def text_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", whole_row: bool = False) -> DataFrame:
+    """Per row: doc_id (with ``whole_row``: the row as ``_row``), n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, n_distinct, base_failed.
 
     A null or empty text has no words and fails the base rules. Windows are
     compared by a 64-bit hash within one text.
     """
     lines = F.filter(F.split("_text", "\n", -1), lambda x: x.rlike(_SPACE_FREE))
-    df = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    key = F.struct("*").alias("_row") if whole_row else F.col(id_col).alias("doc_id")
+    df = docs.select(key, F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     df = pin(df, "_words", words_of(F.col("_text")))
     df = pin(df, "_lines", lines)
     n = F.size("_words")
@@ -85,7 +86,7 @@ def text_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     ).otherwise(F.array().cast("array<bigint>"))
     df = pin(df, "_windows", windows)
     df = df.select(
-        "doc_id",
+        df.columns[0],
         n.cast("long").alias("n_words"),
         F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
         F.regexp_count("_text", F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
@@ -234,11 +235,7 @@ def learn(
     Without usable labels, or with one class only, the list has no rules.
     """
     features = list(features)
-    known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    n = known.count()
-    scale = 1 << 30
-    take = scale if n <= label_bound else label_bound * scale // n
-    known = known.where(F.pmod(F.xxhash64("doc_id", F.lit("learn")), F.lit(scale)) < take)
+    known, _ = labelled_part(labels, label_bound)
     rows = with_features(counts.where("NOT base_failed"), features).join(known, "doc_id").select(
         F.when(F.col("quality") == 0, 1).otherwise(0).alias("bad"),
         F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(3)).alias("part"),
@@ -271,6 +268,16 @@ def learn(
     return DecisionList(tuple(rules))
 
 
+def labelled_part(labels: DataFrame, bound: int = LABEL_BOUND) -> tuple[DataFrame, Column]:
+    """(doc_id, quality) of about ``bound`` labelled ids, and the condition on an id that picks them."""
+    known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    n = known.count()
+    scale = 1 << 30
+    take = scale if n <= bound else bound * scale // n
+    picked = F.pmod(F.xxhash64("doc_id", F.lit("learn")), F.lit(scale)) < take
+    return known.where(picked), picked
+
+
 def judge(docs: DataFrame, labels: DataFrame, **options) -> tuple[DataFrame, DecisionList]:
     """``text_counts`` with ``rule`` and ``kept`` for every row, and the list learned for it.
 
@@ -285,3 +292,16 @@ def judge(docs: DataFrame, labels: DataFrame, **options) -> tuple[DataFrame, Dec
         F.when(~F.col("base_failed"), model.fired()).cast("int").alias("rule"),
         (~F.col("base_failed") & model.verdict()).alias("kept"),
     ), model
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, label_bound: int = LABEL_BOUND, **options) -> tuple[DataFrame, DecisionList]:
+    """The rows of ``docs`` that the base rules and a learned list keep, with all their columns.
+
+    The counts of the labelled part are taken first; the others are taken in the
+    pass that filters, so texts are neither shuffled nor stored with their counts.
+    """
+    _, picked = labelled_part(labels, label_bound)
+    counts = cut_lineage(text_counts(docs.where(picked)), "counts")
+    model = learn(counts, labels, label_bound, **options)
+    judged = with_features(text_counts(docs, whole_row=True))
+    return judged.where(~F.col("base_failed") & model.verdict()).select("_row.*"), model

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import bpe, fingerprints, pii, quality, sharding, suffixes, urls, weighted, wordpiece
+from tidewire.llm import bpe, fingerprints, mixing, pii, quality, sharding, suffixes, urls, weighted, wordpiece
 from tidewire.llm.tables import table
 from tidewire.session import scratch_dir
 
@@ -15,6 +15,26 @@ WORD_PIECES = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+# Target weights of the mix. The tables name no domains, so a rule on the source's last character stands in for one.
+MIX = {
+    "domain": {"web": 5, "forum": 3, "reference": 2},
+    "lang": {"en": 4, "de": 2, "fr": 2, "es": 2},
+    "source": {"src0": 2},
+}
+DOMAINS = ("web", "forum", "reference")
+
+
+def domain_of(source: str = "source"):
+    last = F.ascii(F.right(F.concat(F.lit("0"), F.coalesce(F.col(source), F.lit(""))), F.lit(1)))
+    return F.when(last % 3 == 0, DOMAINS[0]).when(last % 3 == 1, DOMAINS[1]).otherwise(DOMAINS[2])
+
+
+def op1_budget_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    mixed = mixing.mix_documents(docs, MIX, domain=domain_of())
+    return mixed.select(F.col("item").try_cast("bigint").alias("doc_id"), *mixing.LEVELS, "n_tokens", "copies")
+
+
 def op2_longest_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordpiece.count_tokens(table(spark, sf_dir, "documents"), wordpiece.vocabulary(WORD_PIECES))
 
@@ -73,8 +93,47 @@ def op10_quartile_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op2_longest_match, op3_decision_list, op4_weighted_sampling, op5_virtual_slots, op6_rank_queue, op7_pseudonyms,
+        op1_budget_tree, op2_longest_match, op3_decision_list, op4_weighted_sampling, op5_virtual_slots, op6_rank_queue, op7_pseudonyms,
         op8_redirect_classes, op9_prefix_subtrees, op10_quartile_digest,
     )
 }
-ORACLES: dict[str, str] = {}
+
+
+def _case(level: str) -> str:
+    return f"CASE {level} " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in MIX[level].items()) + " ELSE 1 END"
+
+
+def _fill_sql(name: str, nodes: str, parent: str) -> str:
+    """Closed form of the rounds: children in the order of capacity per weight fill up one after the other."""
+    by = f"PARTITION BY {parent} " if parent else ""
+    return f"""
+{name}_o AS (SELECT *,
+    sum(w) OVER ({by}ORDER BY cap::DOUBLE / w, {name} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::HUGEINT AS w_from,
+    coalesce(sum(cap) OVER ({by}ORDER BY cap::DOUBLE / w, {name} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::HUGEINT AS c_before
+    FROM ({nodes})),
+{name}_s AS (SELECT *, cap::HUGEINT * w_from <= (budget::HUGEINT - c_before) * w AS sat FROM {name}_o),
+{name}_r AS (SELECT *, budget::HUGEINT - coalesce(sum(cap) FILTER (sat) OVER ({by.strip()}), 0)::HUGEINT AS rem,
+    sum(w) FILTER (NOT sat) OVER ({by.strip()})::HUGEINT AS open FROM {name}_s),
+{name}_a AS (SELECT * EXCLUDE (budget), CASE WHEN sat THEN cap::HUGEINT ELSE (rem * w) // open END AS alloc FROM {name}_r)"""
+
+
+_DOMAIN = "ascii(right('0' || coalesce(source, ''), 1)) % 3"
+
+ORACLES: dict[str, str] = {
+    "op1_budget_tree": f"""
+WITH items AS (SELECT coalesce(doc_id::VARCHAR, 't' || md5(coalesce(text, ''))) AS item,
+    CASE {_DOMAIN} WHEN 0 THEN 'web' WHEN 1 THEN 'forum' ELSE 'reference' END AS domain, coalesce(lang, 'none') AS lang,
+    coalesce(source, 'none') AS source, sum(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')))::BIGINT AS n_tokens
+    FROM documents GROUP BY ALL),
+leaves AS (SELECT domain, lang, source, sum(n_tokens) AS tokens, 4 * sum(n_tokens) AS cap FROM items GROUP BY ALL),
+total AS (SELECT sum(tokens) AS budget FROM leaves),
+{_fill_sql("domain", f"SELECT domain, sum(cap) AS cap, {_case('domain')} AS w, any_value(budget) AS budget FROM leaves, total GROUP BY domain", "")},
+{_fill_sql("lang", f"SELECT l.domain, l.lang, sum(l.cap) AS cap, {_case('lang')} AS w, any_value(a.alloc) AS budget FROM leaves l JOIN domain_a a USING (domain) GROUP BY domain, lang", "domain")},
+{_fill_sql("source", f"SELECT l.domain, l.lang, l.source, l.cap, l.tokens, {_case('source')} AS w, a.alloc AS budget FROM leaves l JOIN lang_a a USING (domain, lang)", "domain, lang")},
+ranked AS (SELECT i.*, s.alloc // greatest(s.tokens, 1) AS whole, s.alloc % greatest(s.tokens, 1) AS rest
+    FROM items i JOIN source_a s USING (domain, lang, source)),
+summed AS (SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source
+    ORDER BY md5('1:' || whole::VARCHAR || ':' || item), item ROWS UNBOUNDED PRECEDING) AS upto FROM ranked)
+SELECT TRY_CAST(item AS BIGINT) AS doc_id, domain, lang, source, n_tokens,
+    (whole + CASE WHEN upto <= rest AND rest >= 0 THEN 1 ELSE 0 END)::BIGINT AS copies FROM summed"""
+}
