@@ -67,6 +67,23 @@ def test_cap_takes_the_latest(make_articles):
     assert got == ["2024-01-05", "2024-01-04"]
 
 
+def test_cap_reads_every_spelling(make_articles):
+    spellings = [
+        "Wed, 03 Jan 2024 10:00:00 +0000", "2024-01-03T15:31:00+05:30", "2024-01-03T09:59:00Z", "n/a", None,
+        "Mon, 01 Jan 2024 23:00:00 GMT", "2024-01-03T10:01:00.5Z",
+    ]
+    df = make_articles(*[{"published": p} for p in spellings])
+    assert [r.published for r in transform.cap_batch(df, 5).collect()] == [spellings[i] for i in (6, 1, 0, 2, 5)]
+    assert [r.event_id for r in transform.cap_batch(df, 7).collect()][5:] == ["3", "4"]
+
+
+def test_dedup_reads_no_text_it_does_not_return(spark, sf_dir):
+    from tidewire.plans import catalog
+
+    plan = catalog.clean_dedup(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "min_by" not in plan and "content" not in plan.split("Relation")[0]
+
+
 def test_union_fills_missing_columns(make_articles):
     a = make_articles({"title": "A"})
     both = transform.union_sources([a, a.select("event_id").withColumn("tone", F.lit(1.0))])

@@ -78,9 +78,15 @@ def test_evaluation(spark):
     assert np.isclose(rows["1"].f1, 2 * 0.5 * 1 / 1.5)
     assert np.isclose(rows["macro avg"].precision, (0.5 + 0.5 + 0) / 3)
     assert np.isclose(rows["weighted avg"].recall, 0.5) and rows["macro avg"].accuracy == 0.5
-    assert learn.enough_to_evaluate(df) and not learn.enough_to_evaluate(df.limit(4))
-    table = {r.label: (r.pred_0, r.pred_1, r.pred_2) for r in learn.confusion(df).collect()}
-    assert table == {0: (1, 1, 0), 1: (0, 2, 0), 2: (1, 1, 0)}
+    assert learn.evaluate(df.limit(4)).count() == 0 and learn.evaluate(df.limit(5)).count() > 0
+    table = {(r.label, r.pred): r.n for r in learn.confusion(df).collect()}
+    assert table == {(0, 0): 1, (0, 1): 1, (0, 2): 0, (1, 0): 0, (1, 1): 2, (1, 2): 0, (2, 0): 1, (2, 1): 1, (2, 2): 0}
+
+
+def test_confusion_holds_every_class_seen(spark):
+    df = spark.createDataFrame([(0, 0), (0, 3), (1, 2)], "label int, pred int")
+    table = {(r.label, r.pred): r.n for r in learn.confusion(df).collect()}
+    assert len(table) == 16 and sum(table.values()) == 3 and table[(0, 3)] == table[(1, 2)] == 1 and table[(2, 2)] == 0
 
 
 def test_registry(trained, spark, tmp_path):

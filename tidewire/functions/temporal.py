@@ -64,6 +64,23 @@ def read_published(df: DataFrame, published: str = "published") -> DataFrame:
     )
 
 
+def instant(df: DataFrame, published: str = "published", name: str = "pub_instant") -> DataFrame:
+    """Add the moment of publication as struct(UTC wall clock, microseconds text); null if unreadable.
+
+    A time without an offset counts as UTC.
+    """
+    offset = F.coalesce(F.nullif(F.col("pub_offset"), F.lit("")), F.lit("+00:00"))
+    sign = F.when(offset.startswith("-"), -1).otherwise(1)
+    minutes = sign * (F.substring(offset, 2, 2).cast("int") * 60 + F.substring(offset, 5, 2).cast("int"))
+    utc = F.col("pub_local") - F.make_dt_interval(mins=minutes)
+    found = F.struct(utc.alias("utc"), F.rpad(F.coalesce("pub_fraction", F.lit("")), 6, "0").alias("micros"))
+    return (
+        read_published(df, published)
+        .withColumn(name, F.when(F.col("pub_local").isNotNull(), found))
+        .drop("pub_local", "pub_offset", "pub_fraction")
+    )
+
+
 def iso_text(local: Column, fraction: Column, offset: Column) -> Column:
     padded = F.rpad(fraction, 6, "0")
     return F.concat(

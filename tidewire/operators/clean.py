@@ -31,8 +31,19 @@ def keep_first(df: DataFrame, key: str, order: tuple[str, ...] = ARRIVAL_ORDER)
 
 
 def dedup(df: DataFrame, order: tuple[str, ...] = ARRIVAL_ORDER) -> DataFrame:
-    """Keep the first article per md5(title ++ url); the key stays as ``dedup_key``."""
-    return keep_first(df.withColumn("dedup_key", dedup_key()), "dedup_key", order)
+    """Keep the first article per md5(title ++ url); the key stays as ``dedup_key``.
+
+    The first copies are found on key and order alone and picked by a semi join,
+    so no aggregate carries a text, and only the columns that are read later move.
+    ``order`` must tell the rows of a key apart, as the id in it does.
+    """
+    keyed = df.withColumn("dedup_key", dedup_key())
+    winners = keyed.groupBy("dedup_key").agg(F.min(F.struct(*order)).alias("_first"))
+    winners = winners.select(F.col("dedup_key").alias("_k"), *[F.col(f"_first.{c}").alias(f"_{c}") for c in order])
+    same = keyed["dedup_key"] == winners["_k"]
+    for c in order:
+        same = same & keyed[c].eqNullSafe(winners[f"_{c}"])
+    return keyed.join(winners, same, "left_semi")
 
 
 def dedup_counts(df: DataFrame, *group: str) -> DataFrame:
@@ -49,10 +60,10 @@ def dedup_counts(df: DataFrame, *group: str) -> DataFrame:
 def dedup_against_history(df: DataFrame, seen_keys: DataFrame) -> DataFrame:
     """Deduplicate a batch and drop what earlier runs have seen.
 
-    The batch is deduplicated before the anti join, so both sides of the join
-    are unique on the key and no key can be hot.
+    The batch is deduplicated before the anti join, so a hot key is one row of it;
+    the history needs no distinct, as an anti join only asks whether a key is there.
     """
-    return dedup(df).join(seen_keys.select("dedup_key").distinct(), "dedup_key", "left_anti")
+    return dedup(df).join(seen_keys.select("dedup_key"), "dedup_key", "left_anti")
 
 
 def append_seen(new_rows: DataFrame, path: str) -> None:

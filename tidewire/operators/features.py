@@ -6,10 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.functions import temporal
+from tidewire.session import cut_lineage
 
 # Scores carry four decimals: summed as whole ten-thousandths the result does
 # not depend on the order in which partial sums meet.
 SCORE_UNIT = 10000
+BROADCAST_GROUPS = 10_000  # aggregate rows that are shipped to every task
+JOIN_SALTS = 32
 
 
 def extract_features(df: DataFrame) -> DataFrame:
@@ -110,16 +113,24 @@ def snapshot(features: DataFrame, aggregates: DataFrame, group: str, run_ts: str
     """Features of each event with its group's aggregates and signals.
 
     ``aggregates`` carries the group's ``signals`` array (bounded by the number
-    of rules). The group table is small by nature; its join strategy is left to
-    the optimizer, which checks the measured size and splits a hot group.
+    of rules). It is written first and counted: up to ``BROADCAST_GROUPS`` groups
+    are broadcast, so no feature row moves; more are joined on the group and a
+    salt, each group's row in as many copies, so a hot group meets many tasks.
     """
+    aggregates = cut_lineage(aggregates, "groups")
     packed = aggregates.select(
         group,
         "signals",
         F.struct(*[c for c in aggregates.columns if c not in (group, "signals")]).alias("aggregates"),
     )
     columns = [c for c in features.columns if c not in ("event_id", group)]
-    return features.join(packed, group, "left").select(
+    if aggregates.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS:
+        joined = features.join(F.broadcast(packed), group, "left")
+    else:
+        salt = F.pmod(F.xxhash64("event_id"), F.lit(JOIN_SALTS))
+        copies = packed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(JOIN_SALTS - 1))).cast("bigint"))
+        joined = features.withColumn("_salt", salt).join(copies, [group, "_salt"], "left")
+    return joined.select(
         "event_id",
         group,
         F.struct(*columns).alias("features"),

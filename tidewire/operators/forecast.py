@@ -115,10 +115,16 @@ def ensemble(
     """Weighted mean of the models present, cut to the shortest forecast.
 
     ``forecasts(series_id, model, step, value)``; weights go by position to the
-    models a series has and are renormalised. A series holds at most
-    ``len(order)`` forecasts of one horizon, so its group is small.
+    models a series has and are renormalised, so ``weights`` and ``order`` name
+    the models an ensemble may hold. A model that ``order`` lacks is an error, not
+    left out or weighed like another. A series holds at most ``len(order)``
+    forecasts of one horizon, so its group is small.
     """
-    position = F.array_position(F.array(*[F.lit(m) for m in order]), F.col("model"))
+    if len(weights) < len(order):
+        raise ValueError("every model of the order needs a weight")
+    place = F.array_position(F.array(*[F.lit(m) for m in order]), F.col("model"))
+    unknown = F.raise_error(F.concat(F.lit("no weight for forecast model "), F.coalesce("model", F.lit("null"))))
+    position = F.when(place > 0, place).otherwise(unknown.cast("long"))
     per_series = Window.partitionBy("series_id")
     ranked = (
         forecasts.withColumn("_m", position)
@@ -129,7 +135,7 @@ def ensemble(
                 "_slot": F.dense_rank().over(per_series.orderBy("_m")),
             }
         )
-        .filter((F.col("step") <= F.col("_cut")) & (F.col("_slot") <= len(weights)))
+        .filter(F.col("step") <= F.col("_cut"))
     )
     w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), F.col("_slot"))
     return ranked.groupBy("series_id", "step").agg(

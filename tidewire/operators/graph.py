@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.functions import text as t
+from tidewire.session import cut_lineage
 
 # Edge weights and the sentiment below which a market is affected.
 COUNTRY_WEIGHT = 0.8
@@ -150,9 +151,9 @@ def _degrees(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 def centrality(nodes: DataFrame, edges: DataFrame, top: int = 10) -> DataFrame:
     """Top nodes by degree centrality, with the average degree of the graph."""
-    degrees = _degrees(nodes, edges)
-    whole = degrees.agg(F.count("*").alias("n"), F.sum("degree").alias("s"))
-    n, s = whole.select("n").scalar(), whole.select("s").scalar()
+    degrees = cut_lineage(_degrees(nodes, edges), "degrees")
+    whole = degrees.agg(F.struct(F.count("*").alias("n"), F.sum("degree").alias("s"))).scalar()
+    n, s = whole["n"], whole["s"]
     return (
         degrees.orderBy(F.col("degree").desc(), "id")
         .limit(top)
@@ -179,13 +180,3 @@ def upsert_edges(stored: DataFrame, fresh: DataFrame) -> DataFrame:
         .agg(F.max_by(F.struct("type", "relation", "weight"), rank).alias("_a"))
         .select("source", "target", "_a.*")
     )
-
-
-def upsert_nodes(stored: DataFrame, fresh: DataFrame) -> DataFrame:
-    both = stored.withColumn("_v", F.lit(0)).unionByName(fresh.withColumn("_v", F.lit(1)))
-    row = F.struct(*[c for c in stored.columns if c != "id"])
-    return both.groupBy("id").agg(F.max_by(row, "_v").alias("_r")).select("id", "_r.*")
-
-
-def node_id(prefix: str, name: Column) -> Column:
-    return t.node_key(prefix, name)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewire.session import cut_lineage
+from tidewire.session import cut_lineage, scratch_scope
 
+SEEN_ROUNDS = 8  # rounds of a breadth-first search between rewrites of the nodes seen
 
 def neighbors(edges: DataFrame, node: str) -> DataFrame:
     """Successors of a node, each with the number of successors."""
@@ -54,18 +56,24 @@ def impact(edges: DataFrame, event: str | None = None, top: int = 20) -> DataFra
     return out.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= top)
 
 
-def shortest_path(edges: DataFrame, source: str, target: str, max_hops: int = 64) -> DataFrame:
+def shortest_path(edges: DataFrame, source: str, target: str) -> DataFrame:
     """Unweighted directed path as one row ``(path, length)``; ``path`` is null if unreachable.
 
-    Breadth first: each round joins the frontier with the edges, keeps the
-    lexicographically least path per new node and drops nodes seen before. The
-    rounds are written to the shared folder, so the plan does not grow and a
-    lost executor does not restart the search. Only the emptiness of the
-    frontier and the arrival at the target come back to the driver.
+    Breadth first, until the target is reached or no new node is: each round joins
+    the frontier with the edges, keeps the lexicographically least path per new
+    node and drops nodes seen before. Rounds are written to the shared folder, the
+    nodes seen are written anew every few rounds, so neither plan nor reads grow
+    with the depth. Only the emptiness of the frontier and the arrival at the
+    target come back to the driver.
     """
+    with scratch_scope(edges.sparkSession):
+        return _shortest_path(edges, source, target)
+
+
+def _shortest_path(edges: DataFrame, source: str, target: str) -> DataFrame:
     spark = edges.sparkSession
-    links = edges.select("source", "target")
-    ends = links.select(F.explode(F.array("source", "target")).alias("id"))
+    links = cut_lineage(edges.select("source", "target").where("source <> target").distinct(), "links")
+    ends = edges.select(F.explode(F.array("source", "target")).alias("id"))
     both_known = (
         ends.filter(F.col("id").isin(source, target))
         .agg(F.count_distinct("id").alias("n"))
@@ -78,7 +86,7 @@ def shortest_path(edges: DataFrame, source: str, target: str, max_hops: int = 64
         return spark.createDataFrame([([source], 0)], answer)
     frontier = spark.createDataFrame([(source, [source])], "node string, path array<string>")
     seen = frontier.select("node")
-    for _ in range(max_hops):
+    for hop in itertools.count(1):
         reached = (
             links.join(frontier, links["source"] == frontier["node"])
             .select(F.col("target").alias("node"), F.concat("path", F.array("target")).alias("path"))
@@ -94,6 +102,8 @@ def shortest_path(edges: DataFrame, source: str, target: str, max_hops: int = 64
         if frontier.isEmpty():
             break
         seen = seen.unionByName(frontier.select("node"))
+        if hop % SEEN_ROUNDS == 0:
+            seen = cut_lineage(seen, "seen")
     return spark.createDataFrame([(None, None)], answer)
 
 

@@ -124,8 +124,10 @@ def evaluate(predictions: DataFrame) -> DataFrame:
     def mean(c: str) -> Column:
         return F.sum(F.col(c) * F.col("w")) / F.sum("w")
 
+    enough = pairs.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total")).scalar() >= MIN_EVAL_ROWS
     return (
-        spread.groupBy("name", "averaged")
+        spread.where(enough)
+        .groupBy("name", "averaged")
         .agg(
             mean("precision").alias("precision"),
             mean("recall").alias("recall"),
@@ -140,15 +142,19 @@ def evaluate(predictions: DataFrame) -> DataFrame:
     )
 
 
-def enough_to_evaluate(predictions: DataFrame) -> bool:
-    return predictions.limit(MIN_EVAL_ROWS).count() == MIN_EVAL_ROWS
+def confusion(predictions: DataFrame) -> DataFrame:
+    """Counts ``(label, pred, n)`` of every class seen against every class seen, zeros included.
 
-
-def confusion(predictions: DataFrame, classes: tuple[int, ...] = CLASSES) -> DataFrame:
-    """True class by predicted class counts."""
-    return (
-        predictions.groupBy("label")
-        .agg(*[F.count_if(F.col("pred") == c).alias(f"pred_{c}") for c in classes])
+    Classes are those that occur as label or as prediction. The counts are reduced
+    in one scan; the grid is as large as the square of the number of classes.
+    """
+    counts = predictions.groupBy("label", "pred").agg(F.count("*").alias("n"))
+    seen = F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.array("label", "pred")))))
+    cells = F.map_from_entries(F.collect_list(F.struct(F.struct("label", "pred"), "n")))
+    grid = counts.agg(seen.alias("seen"), cells.alias("cells"))
+    labelled = grid.select(F.explode("seen").alias("label"), "seen", "cells")
+    return labelled.select("label", F.explode("seen").alias("pred"), "cells").select(
+        "label", "pred", F.coalesce(F.try_element_at("cells", F.struct("label", "pred")), F.lit(0).cast("long")).alias("n")
     )
 
 

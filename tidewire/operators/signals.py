@@ -7,12 +7,10 @@ from pyspark.sql import functions as F
 
 from tidewire.operators.features import feature_sums, ratios_from_sums
 
-# Thresholds of the rules.
+# Thresholds of the rules. The reason texts below are fixed values too.
 THRESHOLDS = {
     "strong_bearish": -0.5,
     "bearish": -0.2,
-    "neutral": 0.2,
-    "bullish": 0.5,
     "strong_bullish": 1.0,
 }
 MIN_CONFIDENCE = 0.3

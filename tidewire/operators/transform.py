@@ -8,6 +8,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewire.functions import temporal
 from tidewire.functions import text as t
 from tidewire.operators.enrich import enrich_temporal
 
@@ -47,8 +48,12 @@ def transform_rss(df: DataFrame, run_ts: str) -> DataFrame:
 
 
 def cap_batch(df: DataFrame, n: int) -> DataFrame:
-    """Latest ``n`` records (a distributed top-k, no global sort)."""
-    return df.orderBy(F.col("published").desc_nulls_last(), F.col("event_id")).limit(n)
+    """The ``n`` records published last, whatever spelling and offset their times have.
+
+    A distributed top-k, no global sort; times that can't be read come last, ties by id.
+    """
+    timed = temporal.instant(df, name="_instant")
+    return timed.orderBy(F.col("_instant").desc_nulls_last(), F.col("event_id")).limit(n).drop("_instant")
 
 
 def union_sources(sources: Iterable[DataFrame]) -> DataFrame:

@@ -450,8 +450,11 @@ FROM articles"""
     sql["src_webhook"] = """
 SELECT 'webhook' AS source, 'incoming' AS event_type, conv_id, turn, role, md5(text) AS text_md5, true AS parsed
 FROM conversations"""
-    sql["src_cap"] = art + """
-SELECT event_id, published, title FROM articles ORDER BY published DESC NULLS LAST, event_id LIMIT 250"""
+    sql["src_cap"] = ctes(ARTICLES, times("articles")) + """
+SELECT event_id, published, title FROM timed
+ORDER BY local_ts - CASE WHEN length(off) = 6
+    THEN to_minutes(CAST(left(off, 1) || '1' AS INTEGER) * (60 * CAST(off[2:3] AS INTEGER) + CAST(off[5:6] AS INTEGER)))
+    ELSE INTERVAL 0 MINUTE END DESC NULLS LAST, event_id LIMIT 250"""
     sql["stream_kafka_in"] = """
 SELECT CAST(event_id AS VARCHAR) AS key, 'raw-events' AS topic, event_id, user_id, event_type, value,
        strftime(ts, '%Y-%m-%d %H:%M:%S') AS kafka_ts FROM events"""
@@ -709,8 +712,8 @@ UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support),
        round(sum(recall * support) / sum(support), 6), round(sum(f1 * support) / sum(support), 6),
        CAST(sum(support) AS BIGINT), round(sum(tp) / CAST(sum(support) AS DOUBLE), 6) FROM prf"""
     sql["ml_confusion"] = predictions + """
-SELECT label, count(*) FILTER (pred = 0) AS pred_0, count(*) FILTER (pred = 1) AS pred_1,
-       count(*) FILTER (pred = 2) AS pred_2 FROM preds GROUP BY label"""
+SELECT l.c AS label, p.c AS pred, (SELECT count(*) FROM preds WHERE label = l.c AND pred = p.c) AS n
+FROM (SELECT label AS c FROM preds UNION SELECT pred FROM preds) l, (SELECT label AS c FROM preds UNION SELECT pred FROM preds) p"""
     from tidewire.operators.explain import EXPAND, HEDGE, HOLD
 
     sql["explain_text"] = ctes(*per_source, TRENDS, ranked_history("source_name")) + f"""

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 Step = Callable[[DataFrame], DataFrame]
 
-_LOCAL_ROOTS: dict[str, str] = {}  # application -> folder, on local masters without a shared one
+_SCOPES: list[list[str]] = []  # folders written inside each open scratch scope
 
 
 def build_session(app: str = "tidewire", master: str | None = None, **conf: str) -> SparkSession:
@@ -38,20 +38,34 @@ def build_session(app: str = "tidewire", master: str | None = None, **conf: str)
 
 
 def _shared_root(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``, or where that is unset a folder in the warehouse, which all executors share too."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_ROOTS:
-        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="tidewire-")
-    return _LOCAL_ROOTS[app]
+    return root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder."""
-    return f"{_shared_root(spark).rstrip('/')}/tidewire/{label}-{uuid.uuid4().hex}"
+    path = f"{_shared_root(spark).rstrip('/')}/tidewire/{label}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """What is written to the scratch folder inside the scope is deleted at its end.
+
+    For work whose result does not read it any more: a stream's batch that has
+    been written to its sink, a search whose answer has come to the driver.
+    """
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _SCOPES.pop():
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)
 
 
 def cut_lineage(df: DataFrame, label: str) -> DataFrame:

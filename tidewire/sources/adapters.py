@@ -22,7 +22,7 @@ def arrival_time(key: Column) -> Column:
     steps of 7919 seconds. A rule on the id needs no join, so the text column
     is never shuffled just to be dated."""
     return F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
-        secs=F.pmod(key * 7919, F.lit(2592000)).cast("decimal(18,6)")
+        secs=F.pmod(F.pmod(key, F.lit(2592000)) * 7919, F.lit(2592000)).cast("decimal(18,6)")
     )
 
 

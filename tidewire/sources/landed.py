@@ -72,22 +72,35 @@ def read_newsapi(
     )
 
 
-def read_rss(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
-    """Landed feeds, one row per ``<item>``; ``feed`` is the file the item came from.
-
-    Missing elements read as ''. Of a file that is not well formed the items that
-    can be read are kept and the rest is skipped, so a bad feed fails no run.
-    """
+def read_rss_items(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
+    """Every ``<item>`` of landed feeds; one that can't be read has its text in ``_corrupt_record``."""
     reader = spark.readStream if stream else spark.read
-    items = (
+    return (
         reader.format("xml")
-        .schema(RSS_SCHEMA)
+        .schema(f"{RSS_SCHEMA}, {CORRUPT} string")
         .option("rowTag", "item")
-        .option("mode", "DROPMALFORMED")
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
         .option("ignoreSurroundingSpaces", False)
         .load(path)
+        .select("*", F.col("_metadata.file_path").alias("feed"))
     )
 
+
+def rss_skipped(items: DataFrame) -> DataFrame:
+    """Read and skipped items per feed."""
+    bad = F.col(CORRUPT).isNotNull()
+    return items.groupBy("feed").agg(F.count_if(~bad).alias("items"), F.count_if(bad).alias("skipped"))
+
+
+def read_rss(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
+    """Landed feeds, one row per ``<item>``; ``feed`` is the file the item came from.
+
+    Missing elements read as ''. Of a file that is not well formed the items that
+    can be read are kept, so a bad feed fails no run; ``rss_skipped`` counts the rest.
+    """
+    items = read_rss_items(spark, path, stream).filter(F.col(CORRUPT).isNull())
+
     def text(name: str) -> Column:
         return F.coalesce(F.col(name), F.lit(""))
 
@@ -98,7 +111,7 @@ def read_rss(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
         text("description").alias("description"),
         text("link").alias("link"),
         text("pubDate").alias("published"),
-        F.col("_metadata.file_path").alias("feed"),
+        "feed",
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire.operators import graph, similarity
-from tidewire.session import cut_lineage, scratch_dir, spread
+from tidewire.session import cut_lineage, scratch_dir, scratch_scope, spread
 
 BatchFn = Callable[[DataFrame, int], None]
 
@@ -37,13 +37,10 @@ def to_kafka(messages: DataFrame, checkpoint: str, servers: str = "localhost:909
     )
 
 
-def write_table(
-    df: DataFrame, path: str, by: str, mode: str = "append", spread_by: str = "event_id", salts: int = 16
-) -> None:
-    """Partitioned parquet. Rows are spread by partition value and a salt, so a day
-    that holds most of the data is written by many tasks."""
-    spread = df.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)))
-    spread.repartition(by, "_salt").drop("_salt").write.mode(mode).partitionBy(by).parquet(path)
+def write_table(df: DataFrame, path: str, by: str, mode: str = "append") -> None:
+    """Partitioned parquet. Adaptive execution brings a partition value's rows together
+    and splits them again by size, so a day is written by as many tasks as it needs."""
+    df.hint("rebalance", by).write.mode(mode).partitionBy(by).parquet(path)
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", **options: str) -> None:
@@ -70,11 +67,12 @@ def graph_writer(root: str) -> BatchFn:
     def write(batch: DataFrame, batch_id: int) -> None:
         folder = f"batch_id={batch_id}"
         narrow = batch.select("event_id", "title", "source", "published", "url", "entities", "sentiment")
-        batch = cut_lineage(narrow, "graph-batch")
-        nodes = graph.build_nodes(batch).select("id", "type", "label")
-        edges = graph.merge_edges(graph.build_edges(batch))
-        nodes.write.mode("overwrite").parquet(f"{root}/nodes/{folder}")
-        edges.write.mode("overwrite").parquet(f"{root}/edges/{folder}")
+        with scratch_scope(batch.sparkSession):
+            rows = cut_lineage(narrow, "graph-batch")
+            nodes = graph.build_nodes(rows).select("id", "type", "label")
+            edges = graph.merge_edges(graph.build_edges(rows))
+            nodes.write.mode("overwrite").parquet(f"{root}/nodes/{folder}")
+            edges.write.mode("overwrite").parquet(f"{root}/edges/{folder}")
 
     return write
 
@@ -101,18 +99,22 @@ def scoring_writer(corpus: DataFrame, out: str, k: int = 20, threshold: float =
     """``foreachBatch`` body of live scoring.
 
     ``batch(event_id, embedding, event_ts)`` is searched against the static
-    ``corpus(event_id, embedding)``; hits become an impact score, a graph update
-    and a push message.
+    ``corpus(event_id, embedding)``; the live event becomes a node, its hits edges,
+    an impact score and a push message. What a batch wrote meanwhile goes with it.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        folder = f"batch_id={batch_id}"
-        batch = cut_lineage(batch, "live")
+        with scratch_scope(batch.sparkSession):
+            score(cut_lineage(batch, "live"), f"batch_id={batch_id}")
+
+    def score(batch: DataFrame, folder: str) -> None:
         found = similarity.top_k(batch, corpus, k, query_id="event_id", corpus_id="event_id")
         hits = cut_lineage(found, "hits").filter(F.col("score") >= threshold)
         events = batch.select(F.col("event_id").alias("query_id"), "event_ts")
         impact = similarity.impact_scores(hits, events)
         impact.write.mode("overwrite").parquet(f"{out}/impact/{folder}")
+        live = batch.select(F.col("event_id").alias("id"), F.lit("event").alias("type"), "event_ts")
+        live.write.mode("overwrite").parquet(f"{out}/nodes/{folder}")
         links = hits.select(
             F.col("query_id").alias("source"), F.col("hit_id").alias("target"),
             F.lit("similar_to").alias("type"), F.lit("SIMILAR_TO").alias("relation"),

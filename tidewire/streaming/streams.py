@@ -31,12 +31,15 @@ def event_time(df: DataFrame, column: str, delay: str) -> DataFrame:
     return df.withColumn(column, F.col(column).cast("timestamp")).withWatermark(column, delay)
 
 
-def dedup_stream(df: DataFrame, delay: str = "1 day", salts: int = 16) -> DataFrame:
+def dedup_stream(df: DataFrame, delay: str = "1 day", salts: int | None = None) -> DataFrame:
     """First article per key within the watermark.
 
     Two rounds: copies are first dropped per (key, salt), which spreads a hot
-    key over ``salts`` tasks, then the few survivors per key meet.
+    key over ``salts`` tasks (by default as many as the shuffle has), then the
+    survivors per key meet. The number of salts belongs to the stream's state, so
+    a stream keeps it between restarts, as it keeps its shuffle width.
     """
+    salts = salts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keyed = event_time(df.withColumn("dedup_key", dedup_key()), "event_ts", delay)
     salted = keyed.withColumn("_salt", F.pmod(F.xxhash64("event_id"), F.lit(salts)))
     return (
