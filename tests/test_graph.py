@@ -79,6 +79,12 @@ def test_shortest_path(spark):
     assert graph_queries.shortest_path(edges, "a", "nowhere").count() == 0
 
 
+def test_shortest_path_has_no_hop_limit(spark):
+    chain = spark.createDataFrame([(f"n{i:03d}", f"n{i + 1:03d}") for i in range(20)], "source string, target string")
+    row = graph_queries.shortest_path(chain, "n000", "n020").first()
+    assert row.length == 20 and row.path[-1] == "n020"
+
+
 def test_causal_paths(spark):
     edges = make_edges(spark, *PATHS)
     got = graph_queries.causal_paths(edges, "e").collect()

@@ -135,6 +135,15 @@ def test_ensemble_weights_by_position(spark):
     }
 
 
+def test_ensemble_knows_its_models(spark):
+    rows = [("a", m, 1, v) for m, v in (("linear", 1.0), ("growth", 2.0), ("other", 100.0))]
+    df = spark.createDataFrame(rows, "series_id string, model string, step int, value double")
+    with pytest.raises(Exception, match="no weight for forecast model other"):
+        forecast.ensemble(df).collect()
+    named = forecast.ensemble(df, (0.5, 0.3, 0.2), ("linear", "growth", "other")).first()
+    assert named.models_used == 3 and round(named.value, 6) == 21.1
+
+
 def plain_account(days):
     cash, held, peak, out = 10000.0, 0.0, 10000.0, []
     for pos, price in days:

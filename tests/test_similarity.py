@@ -63,6 +63,28 @@ def test_hashed_search_scores_exactly_and_finds_copies(vectors):
     assert right >= 35
 
 
+def test_hashed_search_scores_few_pairs(spark, vectors, monkeypatch):
+    pairs = similarity.candidates(*(similarity._two_columns(vectors, "vec_id", "embedding") for _ in range(2)), (2, 8, 1), 16)
+    found = {tuple(r) for r in pairs.collect()}
+    assert 300 <= len(found) < 0.35 * 300 * 300  # a third of the rows are copies, which must all meet
+    assert all((str(a), str(b)) in found for a in range(100, 200, 9) for b in range(100, 200, 9))
+    monkeypatch.setattr(similarity, "HOT_BUCKET", 20)
+    split = similarity.candidates(*(similarity._two_columns(vectors, "vec_id", "embedding") for _ in range(2)), (2, 8, 1), 16)
+    assert {tuple(r) for r in split.collect()} == found
+
+
+def test_a_task_returns_one_list_per_query(vectors):
+    import pyarrow as pa
+
+    q = similarity.unit(VECTORS[:5])
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array([str(i) for i in range(a, a + 30)]), pa.array(VECTORS[a : a + 30].tolist())], ["id", "vec"])
+        for a in range(0, 300, 30)
+    ]
+    out = list(similarity._search(iter(batches), np.array(list("01234")), q, 4, True))
+    assert len(out) == 1 and out[0].num_rows == 20
+
+
 def test_no_queries(vectors):
     assert similarity.top_k(vectors.filter("false"), vectors).count() == 0
 

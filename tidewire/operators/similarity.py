@@ -11,12 +11,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewire.functions import lexicons as lx
+from tidewire.session import cut_lineage
 
 # Query batches up to this many bytes of vectors are shipped to every task;
 # larger ones are joined block by block.
-BROADCAST_BYTES = 32 * 1024 * 1024
-BLOCK_ROWS = 4096
+BROADCAST_BYTES = 8 * 1024 * 1024
+BLOCK_ROWS = 4096  # query rows of a block
+CORPUS_BLOCK_ROWS = 65536
 SCORE_CELLS = 4_000_000  # scores held at once while a block is ranked
+HELD_HITS = 1_000_000  # hits a task gathers before it cuts them to the best
+HOT_BUCKET = 50_000  # corpus rows of a hash bucket that one task joins
 
 HITS = "query_id string, hit_id string, score double"
 
@@ -36,34 +40,62 @@ def matrix_of(column: pa.Array) -> np.ndarray:
 
 
 def best_per_query(
-    q_ids: np.ndarray,
-    q: np.ndarray,
-    c_ids: np.ndarray,
-    c: np.ndarray,
-    k: int,
-    skip_self: bool,
-    allowed: np.ndarray | None = None,
-) -> pa.RecordBatch:
-    """The ``k`` best corpus rows for each query, ordered by (rounded score, id)."""
-    scores = np.round(q @ c.T, 6)
-    out_q, out_c, out_s = [], [], []
-    for i in range(len(q_ids)):
-        row = scores[i]
-        ok = np.ones(len(c_ids), dtype=bool) if allowed is None else allowed[i].copy()
-        if skip_self:
-            ok &= c_ids != q_ids[i]
-        idx = np.flatnonzero(ok)
-        if len(idx) > k:
-            floor = np.partition(row[idx], len(idx) - k)[len(idx) - k]
-            idx = idx[row[idx] >= floor]
-        idx = idx[np.lexsort((c_ids[idx], -row[idx]))][:k]
-        out_q.extend([q_ids[i]] * len(idx))
-        out_c.extend(c_ids[idx])
-        out_s.extend(row[idx])
-    return pa.RecordBatch.from_arrays(
-        [pa.array(out_q, pa.string()), pa.array(out_c, pa.string()), pa.array(out_s, pa.float64())],
-        names=["query_id", "hit_id", "score"],
-    )
+    q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray, k: int, skip_self: bool
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query row, corpus id, rounded score) of the ``k`` best corpus rows for each query, ties by id.
+
+    Score and id order are packed into one whole number per cell, so a block is
+    ranked by one partition and ids are looked up for the winners only.
+    """
+    by_id = np.argsort(c_ids, kind="stable")
+    c_ids, c = c_ids[by_id], c[by_id]
+    micro = np.rint((q @ c.T) * 1e6).astype(np.int64)
+    packed = (micro << 32) - np.arange(len(c_ids))
+    if skip_self:
+        at = np.minimum(np.searchsorted(c_ids, q_ids), len(c_ids) - 1)
+        own = np.flatnonzero(c_ids[at] == q_ids)
+        for row in own:  # an id may lie in the block more than once
+            packed[row, np.searchsorted(c_ids, q_ids[row], "left") : np.searchsorted(c_ids, q_ids[row], "right")] = np.iinfo(np.int64).min
+    k = min(k, len(c_ids))
+    best = np.argpartition(packed, len(c_ids) - k, axis=1)[:, len(c_ids) - k :]
+    rows = np.repeat(np.arange(len(q_ids)), k)
+    columns = best.ravel()
+    kept = packed[rows, columns] != np.iinfo(np.int64).min
+    rows, columns = rows[kept], columns[kept]
+    return rows, c_ids[columns], micro[rows, columns] / 1e6
+
+
+class _BestSoFar:
+    """The ``k`` best hits of each query that a task has met."""
+
+    def __init__(self, q_ids: np.ndarray, k: int):
+        self.q_ids, self.k = q_ids, k
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.held = 0
+
+    def add(self, part: tuple[np.ndarray, np.ndarray, np.ndarray]) -> None:
+        self.parts.append(part)
+        self.held += len(part[0])
+        if self.held > max(HELD_HITS, 2 * self.k * len(self.q_ids)):
+            self.cut()
+
+    def cut(self) -> None:
+        rows, ids, scores = (np.concatenate(x) for x in zip(*self.parts))
+        order = np.lexsort((ids, -scores, rows))
+        rows, ids, scores = rows[order], ids[order], scores[order]
+        head = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]])) if len(rows) else np.empty(0, int)
+        place = np.arange(len(rows)) - np.repeat(head, np.diff(np.append(head, len(rows))))
+        kept = place < self.k
+        self.parts, self.held = [(rows[kept], ids[kept], scores[kept])], int(kept.sum())
+
+    def batch(self) -> pa.RecordBatch:
+        if self.parts:
+            self.cut()
+        rows, ids, scores = self.parts[0] if self.parts else (np.empty(0, int), np.empty(0, "U1"), np.empty(0))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(self.q_ids[rows].tolist(), pa.string()), pa.array(ids.tolist(), pa.string()), pa.array(scores, pa.float64())],
+            names=["query_id", "hit_id", "score"],
+        )
 
 
 def _keep_best(hits: DataFrame, k: int) -> DataFrame:
@@ -84,22 +116,19 @@ def signatures(vectors: np.ndarray, planes: np.ndarray) -> np.ndarray:
     return signs.reshape(len(vectors), tables, bits) @ powers
 
 
-def _search(batches: Iterator[pa.RecordBatch], q_ids, q, k, skip_self, lsh) -> Iterator[pa.RecordBatch]:
-    planes = hyperplanes(q.shape[1], *lsh) if lsh else None
-    q_sig = signatures(q, planes) if lsh else None
+def _search(batches: Iterator[pa.RecordBatch], q_ids, q, k, skip_self) -> Iterator[pa.RecordBatch]:
+    """Best hits of a task: one list per query, whatever the number of batches."""
+    best = _BestSoFar(q_ids, k)
     for batch in batches:
-        c_ids = np.array(batch.column(0).to_pylist(), dtype=object)
-        c = unit(matrix_of(batch.column(1)))
-        if not len(c_ids):
+        if not batch.num_rows:
             continue
-        c_sig = signatures(c, planes) if lsh else None
+        c_ids = np.array(batch.column(0).to_pylist(), dtype=str)
+        c = unit(matrix_of(batch.column(1)))
         step = max(1, SCORE_CELLS // len(c_ids))
         for at in range(0, len(q_ids), step):
-            part = slice(at, at + step)
-            allowed = None
-            if lsh:
-                allowed = (q_sig[part, None, :] == c_sig[None, :, :]).any(axis=2)
-            yield best_per_query(q_ids[part], q[part], c_ids, c, k, skip_self, allowed)
+            rows, ids, scores = best_per_query(q_ids[at : at + step], q[at : at + step], c_ids, c, k, skip_self)
+            best.add((rows + at, ids, scores))
+    yield best.batch()
 
 
 def _two_columns(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -108,14 +137,15 @@ def _two_columns(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     )
 
 
-def _grid_search(q: DataFrame, c: DataFrame, k: int, skip_self: bool, lsh, n_q: int, n_c: int) -> DataFrame:
+def _grid_search(q: DataFrame, c: DataFrame, k: int, skip_self: bool, n_q: int, n_c: int) -> DataFrame:
     """Block join for query batches too large to ship.
 
     Ids are hashed into blocks of bounded size on both sides; every query block
     meets every corpus block in one task that returns only the best ``k`` per
-    query. Blocks are balanced because ids are unique.
+    query. Corpus blocks are the larger ones, so few partial lists are made.
+    Blocks are balanced because ids are unique.
     """
-    q_blocks, c_blocks = -(-n_q // BLOCK_ROWS), -(-n_c // BLOCK_ROWS)
+    q_blocks, c_blocks = -(-n_q // BLOCK_ROWS), -(-n_c // CORPUS_BLOCK_ROWS)
 
     def blocked(df: DataFrame, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
         return df.withColumn(own, F.pmod(F.xxhash64("id"), F.lit(n_own)).cast("int")).withColumn(
@@ -126,18 +156,70 @@ def _grid_search(q: DataFrame, c: DataFrame, k: int, skip_self: bool, lsh, n_q:
         schema = pa.schema([("query_id", pa.string()), ("hit_id", pa.string()), ("score", pa.float64())])
         if not left.num_rows or not right.num_rows:
             return schema.empty_table()
-        ids = np.array(left.column("id").to_pylist(), dtype=object)
+        ids = np.array(left.column("id").to_pylist(), dtype=str)
         vec = unit(matrix_of(left.column("vec")))
         batch = pa.RecordBatch.from_arrays(
             [right.column("id").combine_chunks(), right.column("vec").combine_chunks()], ["id", "vec"]
         )
-        return pa.Table.from_batches(_search(iter([batch]), ids, vec, k, skip_self, lsh), schema)
+        return pa.Table.from_batches(_search(iter([batch]), ids, vec, k, skip_self), schema)
 
     left = blocked(q, "qb", q_blocks, "cb", c_blocks).groupBy("qb", "cb")
     right = blocked(c, "cb", c_blocks, "qb", q_blocks).groupBy("qb", "cb")
     return left.cogroup(right).applyInArrow(meet, HITS)
 
 
+def _signed(vectors: DataFrame, lsh: tuple[int, int, int], dim: int) -> DataFrame:
+    """(id, table, sig): the hash bucket of each vector in each table."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        planes = hyperplanes(dim, *lsh)
+        for batch in batches:
+            if batch.num_rows:
+                found = signatures(unit(matrix_of(batch.column(1))), planes)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.tolist(), pa.list_(pa.int64()))], names=["id", "sigs"])
+
+    return vectors.mapInArrow(run, "id string, sigs array<long>").select("id", F.posexplode("sigs").alias("table", "sig"))
+
+
+def candidates(queries: DataFrame, corpus: DataFrame, lsh: tuple[int, int, int], dim: int, skip_self: bool = False) -> DataFrame:
+    """Distinct (query_id, hit_id) that share a bucket; both sides are (id, vec).
+
+    An equi-join on (table, bucket). A bucket of more than ``HOT_BUCKET`` corpus
+    rows is split by a salt, and the queries in it go to each part; there are no
+    more buckets than ``tables * 2 ** bits``.
+    """
+    keys = ["table", "sig"]
+    signed = cut_lineage(_signed(corpus, lsh, dim), "buckets")
+    parts = signed.groupBy(*keys).agg(F.ceil(F.count("*") / HOT_BUCKET).cast("int").alias("parts"))
+    salt = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
+    right = signed.join(F.broadcast(parts), keys).select(*keys, salt.alias("salt"), F.col("id").alias("hit_id"))
+    left = (
+        _signed(queries, lsh, dim).join(F.broadcast(parts), keys)
+        .select(*keys, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"), F.col("id").alias("query_id"))
+    )
+    pairs = left.join(right, [*keys, "salt"]).select("query_id", "hit_id")
+    if skip_self:
+        pairs = pairs.filter("query_id <> hit_id")
+    return pairs.distinct()
+
+
+def _rescored(pairs: DataFrame, q: DataFrame, c: DataFrame) -> DataFrame:
+    """Exact cosines of the candidate pairs, and of no others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                scores = np.einsum("ij,ij->i", unit(matrix_of(batch.column(2))), unit(matrix_of(batch.column(3))))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(1), pa.array(np.rint(scores * 1e6) / 1e6)], names=["query_id", "hit_id", "score"]
+                )
+
+    both = pairs.join(c.select(F.col("id").alias("hit_id"), F.col("vec").alias("c_vec")), "hit_id").join(
+        q.select(F.col("id").alias("query_id"), F.col("vec").alias("q_vec")), "query_id"
+    )
+    return both.select("query_id", "hit_id", "q_vec", "c_vec").mapInArrow(run, HITS)
+
+
 def top_k(
     queries: DataFrame,
     corpus: DataFrame,
@@ -157,24 +239,24 @@ def top_k(
     Either way a task scores a block with one matrix product and returns the
     best ``k`` per query, and those partial lists are merged.
 
-    ``lsh=(tables, bits, seed)`` restricts the exact scoring to corpus rows that
-    share a random-hyperplane bucket with the query (approximate recall, exact
-    scores).
+    ``lsh=(tables, bits, seed)`` scores only corpus rows that share a
+    random-hyperplane bucket with the query, found by a join on the buckets
+    (approximate recall, exact scores, fewer than ``k`` hits where fewer share one).
     """
     q = _two_columns(queries, query_id, query_vec)
     c = _two_columns(corpus, corpus_id, corpus_vec)
     size = q.agg(F.count("*").alias("n"), F.max(F.size("vec")).alias("d")).first()
     if not size["n"]:
         return queries.sparkSession.createDataFrame([], HITS + ", rank int")
-    if size["n"] * (size["d"] * 8 + 64) <= broadcast_bytes:
+    if lsh:
+        hits = _rescored(candidates(q, c, lsh, size["d"], skip_self), q, c)
+    elif size["n"] * (size["d"] * 8 + 64) <= broadcast_bytes:
         rows = q.toArrow()
-        ids = np.array(rows.column("id").to_pylist(), dtype=object)
-        search = partial(
-            _search, q_ids=ids, q=unit(matrix_of(rows.column("vec"))), k=k, skip_self=skip_self, lsh=lsh
-        )
+        ids = np.array(rows.column("id").to_pylist(), dtype=str)
+        search = partial(_search, q_ids=ids, q=unit(matrix_of(rows.column("vec"))), k=k, skip_self=skip_self)
         hits = c.mapInArrow(search, HITS)
     else:
-        hits = _grid_search(q, c, k, skip_self, lsh, size["n"], c.count())
+        hits = _grid_search(q, c, k, skip_self, size["n"], c.count())
     return _keep_best(hits, k)
 
 
