@@ -69,6 +69,22 @@ def test_attribution_is_exact(trained, features, spark):
         assert abs(mine[mine["sentiment"].top_feature].shap_value) == abs(mine[top].shap_value)
 
 
+def test_attribution_is_the_mean_over_the_background(trained, features):
+    model = trained[0]
+    points = explain.background_of(features, 3)
+    assert len(points) == 3
+    rows = features.limit(3)
+
+    def values(background):
+        found = explain.attribute(model, rows, background).collect()
+        return {(r.event_id, r.feature): (r.shap_value, r.base_value) for r in found}
+
+    single = [values(p) for p in points]
+    for key, got in values(points).items():
+        for at in (0, 1):
+            assert abs(got[at] - sum(s[key][at] for s in single) / 3) < 2e-4
+
+
 def test_evaluation(spark):
     pairs = [(0, 0), (0, 1), (1, 1), (1, 1), (2, 0), (2, 1)]
     df = spark.createDataFrame(pairs, "label int, pred int")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from itertools import combinations
 from math import factorial
 
@@ -26,27 +26,48 @@ def baseline_of(features: DataFrame) -> dict[str, float]:
     return {c: float(row[c] or 0.0) for c in MODEL_FEATURES}
 
 
+BACKGROUND_ROWS = 10  # documented bound of the background sample
+
+
+def background_of(features: DataFrame, rows: int = BACKGROUND_ROWS) -> list[dict[str, float]]:
+    """A bounded sample of rows, the first by a hash of the id: the points attributions are measured from."""
+    by_hash = features.orderBy(F.xxhash64("event_id"), "event_id").limit(rows)
+    picked = by_hash.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in MODEL_FEATURES]).collect()
+    return [r.asDict() for r in picked]
+
+
 def attribute(
     model: RandomForestClassificationModel,
     features: DataFrame,
-    baseline: Mapping[str, float],
+    background: Mapping[str, float] | Sequence[Mapping[str, float]],
     target_class: int = 1,
 ) -> DataFrame:
-    """Exact Shapley values of the three features for every row.
+    """Exact Shapley values of the three features for every row, against a background.
+
+    The score of a coalition is the mean over the background's points, the
+    features outside the coalition taken from the point; Shapley values are linear
+    in it, so they are the means of the values against each point. One point (a
+    mapping) is a background of one. The points are rows of a small inline table;
+    each row meets them all in its own task and is averaged by id afterwards.
+    """
+    points = [background] if isinstance(background, Mapping) else list(background)
+    names = MODEL_FEATURES
+    point = F.inline(F.array(*[F.struct(*[F.lit(float(p[c])).alias(f"_b{i}") for i, c in enumerate(names)]) for p in points]))
+    rows = features.select("event_id", *[F.col(c).cast("double").alias(c) for c in names], point)
+    values = _coalition_values(model, rows, target_class)
+    mean = values.groupBy("event_id").agg(*[F.avg(c).alias(c) for c in values.columns if c != "event_id"])
+    return _attribution_rows(mean)
+
+
+def _coalition_values(model: RandomForestClassificationModel, scored: DataFrame, target_class: int) -> DataFrame:
+    """(event_id, base_value, _s0, _s1, _s2): Shapley values of each row against its own point.
 
     Each of the eight feature coalitions is one vector column scored by the
-    model, the features outside the coalition held at the baseline; the values
-    are then a weighted sum of columns. Nothing is exploded or shuffled before
-    the final one-row-per-feature form.
+    model; the values are a weighted sum of columns.
     """
     names = MODEL_FEATURES
     size = len(names)
     subsets = [s for k in range(size + 1) for s in combinations(range(size), k)]
-    scored = features.select(
-        "event_id",
-        *[F.col(c).cast("double").alias(c) for c in names],
-        *[F.lit(float(baseline[c])).alias(f"_b{i}") for i, c in enumerate(names)],
-    )
     kept = ["event_id", *names, *[f"_b{i}" for i in range(size)]]
     value: dict[tuple[int, ...], str] = {}
     for s in subsets:
@@ -70,9 +91,14 @@ def attribute(
             total = total + weight * (F.col(value[joined]) - F.col(value[s]))
         return total
 
-    rows = scored.select(
+    return scored.select(
         "event_id", F.col(value[()]).alias("base_value"), *[shapley(i).alias(f"_s{i}") for i in range(size)]
     )
+
+
+def _attribution_rows(rows: DataFrame) -> DataFrame:
+    """One row per feature, with the row's strongest feature."""
+    size = len(MODEL_FEATURES)
     best = F.greatest(*[F.abs(f"_s{i}") for i in range(size)])
     top = F.lit(FEATURE_NAMES[-1])
     for i in reversed(range(size)):

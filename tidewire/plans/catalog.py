@@ -84,6 +84,10 @@ def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flows.feature_rows(articles(spark, sf_dir), POSITIVE, NEGATIVE)
 
 
+def daily_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flows.daily_rows(articles(spark, sf_dir), POSITIVE, NEGATIVE)
+
+
 # ---- sources -------------------------------------------------------------
 
 
@@ -300,13 +304,12 @@ def enrich_temporal(spark, sf_dir):
 
 @query
 def daily_enrich(spark, sf_dir):
-    rows = enrich.enrich(clean.dedup(articles(spark, sf_dir)), RUN_TS)
-    return rounded(
-        rows.select(
-            "event_id", "dedup_key", F.size("locations").alias("n_locations"), "entity_count",
-            "published_parsed", "day_of_week",
-        )
+    """Enriched before the deduplication, which then moves these columns and no text."""
+    rows = enrich.enrich(articles(spark, sf_dir), RUN_TS).select(
+        "event_id", "event_ts", clean.dedup_key().alias("dedup_key"), F.size("locations").alias("n_locations"),
+        "entity_count", "published_parsed", "day_of_week",
     )
+    return rounded(clean.keep_first(rows, "dedup_key").drop("event_ts"))
 
 
 @query
@@ -497,7 +500,7 @@ def kg_causal_paths(spark, sf_dir):
 
 @query
 def daily_graph(spark, sf_dir):
-    rows = cut_lineage(_tagged(spark, sf_dir).withColumn("day", day_text("event_ts")), "daily-graph")
+    rows = cut_lineage(daily_rows(spark, sf_dir).withColumn("day", day_text("event_ts")), "daily-graph")
     nodes, edges = graph.daily_graph(rows)
     days = rows.select(F.col("event_id").alias("source"), "day")
     by_day = edges.join(days, "source")
@@ -560,7 +563,7 @@ def feat_aggregate(spark, sf_dir):
 
 @query
 def daily_features(spark, sf_dir):
-    by_day = features.daily_features(feature_rows(spark, sf_dir))
+    by_day = features.daily_features(daily_rows(spark, sf_dir))
     return rounded(by_day.withColumn("day", day_text("day")))
 
 
@@ -572,7 +575,7 @@ def signals_(spark, sf_dir):
 
 @query
 def daily_signals(spark, sf_dir):
-    by_day = features.daily_features(feature_rows(spark, sf_dir), "language")
+    by_day = features.daily_features(daily_rows(spark, sf_dir), "language")
     return rounded(signals.generate_daily_signals(by_day, "language", "day").withColumn("day", day_text("day")))
 
 
@@ -714,7 +717,7 @@ def ml_registry(spark, sf_dir):
 def explain_shapley(spark, sf_dir):
     rows = cut_lineage(feature_rows(spark, sf_dir), "features")
     model, _ = learn.train_forest(rows, trees=20)
-    return explain.attribute(model, rows, explain.baseline_of(rows))
+    return explain.attribute(model, rows, explain.background_of(rows))
 
 
 @query

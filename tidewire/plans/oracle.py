@@ -432,6 +432,17 @@ def statements() -> dict[str, str]:
     art = ctes(ARTICLES)
     lowered = ctes(ARTICLES, f"lows AS (SELECT *, {LOW} AS low FROM articles)")
 
+    # the daily path: first copies only, tagged from the short linker lists
+    daily = f"""
+linked AS (
+  SELECT *, {sentiment(BODY, POSITIVE, NEGATIVE)}, {PLACES_ALL} AS allp,
+         {orgs(lx.LINKER_ACRONYMS, lx.LINKER_SUFFIXES)} AS orgs, {found(lx.LINKER_COUNTRIES, LOW)} AS countries
+  FROM firsts),
+feats AS (
+  SELECT event_id, event_ts, "language", orgs, countries, len(orgs) + len(countries) AS entity_count,
+         {SCORE} AS sentiment_score, {LABEL} AS sentiment_label,
+         CASE WHEN len({PLACES}) > 0 THEN 1 ELSE 0 END AS has_geo FROM linked)"""
+
     # sources
     sql["src_gdelt"] = art + """
 SELECT event_id AS gdelt_doc_id, 'gdelt' AS source, 'news_article' AS event_type, title, url,
@@ -620,7 +631,7 @@ FROM supply WHERE source <> target QUALIFY rank <= 20"""
 SELECT array_to_string(path, '|') AS path, CAST(hops AS BIGINT) AS length,
        array_to_string(rels[2:], '|') AS relations, w AS weight_sum
 FROM walk WHERE node = {lit(PATH_TO)} AND hops > 0 ORDER BY hops, walk.path LIMIT 5"""
-    sql["daily_graph"] = ctes(ARTICLES, TAGGED, MENTIONS) + """
+    sql["daily_graph"] = ctes(ARTICLES, daily, MENTIONS) + """
 SELECT day, n_nodes, coalesce(n_edges, 0) AS n_edges, coalesce(weight_sum, 0.0) AS weight_sum
 FROM (SELECT day, count(DISTINCT id) AS n_nodes FROM (
         SELECT strftime(event_ts, '%Y-%m-%d') AS day, event_id AS id FROM feats
@@ -646,12 +657,12 @@ FROM timed LEFT JOIN vecs USING (event_id)"""
        round(geo_ratio, 6) AS geo_ratio"""
     per_source_lang = ctes(ARTICLES, TAGGED, aggregate("feats", 'source_name, "language"'))
     sql["feat_aggregate"] = per_source_lang + f'SELECT source_name, "language", {six} FROM aggs'
-    sql["daily_features"] = ctes(ARTICLES, TAGGED, aggregate(BY_DAY, "day")) + """
+    sql["daily_features"] = ctes(ARTICLES, daily, aggregate(BY_DAY, "day")) + """
 SELECT day, round(avg_sentiment, 6) AS avg_sentiment, round(avg_entity_count, 6) AS avg_entities, total_events
 FROM aggs"""
     sql["signals"] = per_source_lang + fired('source_name, "language"', "aggs", RULES)
     lang_day = ctes(ARTICLES, TAGGED, aggregate(BY_DAY, '"language", day'))
-    sql["daily_signals"] = lang_day + fired('"language", day', "aggs", DAILY_RULES)
+    sql["daily_signals"] = ctes(ARTICLES, daily, aggregate(BY_DAY, '"language", day')) + fired('"language", day', "aggs", DAILY_RULES)
     sql["signal_filter"] = lang_day + fired('"language", day', "aggs", DAILY_RULES, "WHERE s.confidence >= 0.3")
     sql["signals_7d"] = ctes(ARTICLES, TAGGED, """rolled AS (
   SELECT d."language", d.day, f.* EXCLUDE ("language") FROM
@@ -791,14 +802,6 @@ SELECT strftime(event_ts, '%Y-%m-%d') AS day, count(*) AS n_rows, CAST(sum(lengt
 FROM articles GROUP BY 1"""
 
     # flows and run log
-    daily = f"""
-linked AS (
-  SELECT *, {sentiment(BODY, POSITIVE, NEGATIVE)}, {PLACES_ALL} AS allp,
-         len({orgs(lx.LINKER_ACRONYMS, lx.LINKER_SUFFIXES)}) + len({found(lx.LINKER_COUNTRIES, LOW)}) AS entity_count
-  FROM firsts),
-feats AS (
-  SELECT event_ts, entity_count, {SCORE} AS sentiment_score, {LABEL} AS sentiment_label,
-         CASE WHEN len({PLACES}) > 0 THEN 1 ELSE 0 END AS has_geo FROM linked)"""
     sql["daily_flow"] = ctes(ARTICLES, daily, aggregate(BY_DAY, "day")) + fired("day", "aggs", DAILY_RULES)
     sql["news_flow"] = ctes(ARTICLES, PAGES, f"""news AS (
   SELECT event_id, source, source_name, {LOW} AS low FROM articles
