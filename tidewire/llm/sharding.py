@@ -79,8 +79,8 @@ def first_map(sizes: list[int], shards: int) -> SlotMap:
 def rebalance(old: SlotMap, sizes: list[int], shards: int | None = None, tolerance: float = 0.02) -> SlotMap:
     """The next version: moves slots off shards above the mean until all are within ``tolerance``.
 
-    Only slots of shards that are too full (or that go away) move. With one more
-    shard and balanced old ones, rows move only into the new shard.
+    Only slots of shards that are too full (or that go away) move. With more shards
+    than before, slots move only into the new ones.
     """
     shards = shards or old.shards
     owner, load = list(old.owner), [0] * shards
@@ -93,13 +93,17 @@ def rebalance(old: SlotMap, sizes: list[int], shards: int | None = None, toleran
         else:
             homeless.append(slot)
     mean = sum(sizes) / shards
-    for shard in range(shards):
-        # Small slots leave last, so that what leaves is few slots.
+    new = range(old.shards, shards)
+    for shard in range(min(shards, old.shards)):
+        # Large slots leave first, while the shard stays at the mean or above; so few slots move.
         for slot in sorted(held[shard], key=lambda i: (-sizes[i], i)):
-            if load[shard] - sizes[slot] >= mean * (1 - tolerance / 2) and load[shard] > mean:
+            if load[shard] > mean * (1 + tolerance) or new:
+                if load[shard] - sizes[slot] < mean:
+                    continue
                 load[shard] -= sizes[slot]
                 homeless.append(slot)
-    heap = [(load[s], s) for s in range(shards)]
+    # What only makes room for new shards goes to them; else to the lightest of all.
+    heap = [(load[s], s) for s in (new if new and shards > old.shards else range(shards))]
     heapq.heapify(heap)
     for slot in sorted(homeless, key=lambda i: (-sizes[i], i)):
         lightest, shard = heap[0]
