@@ -84,6 +84,11 @@ def test_dedup_reads_no_text_it_does_not_return(spark, sf_dir):
     assert "min_by" not in plan and "content" not in plan.split("Relation")[0]
 
 
+def test_dedup_keeps_one_of_equal_rows(make_articles):
+    twice = make_articles({"title": "A", "content": "x"}, {"title": "B"})
+    assert sorted(r.title for r in clean.dedup(twice.union(twice)).collect()) == ["A", "B"]
+
+
 def test_union_fills_missing_columns(make_articles):
     a = make_articles({"title": "A"})
     both = transform.union_sources([a, a.select("event_id").withColumn("tone", F.lit(1.0))])

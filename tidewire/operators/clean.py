@@ -34,8 +34,9 @@ def dedup(df: DataFrame, order: tuple[str, ...] = ARRIVAL_ORDER) -> DataFrame:
     """Keep the first article per md5(title ++ url); the key stays as ``dedup_key``.
 
     The first copies are found on key and order alone and picked by a semi join,
-    so no aggregate carries a text, and only the columns that are read later move.
-    ``order`` must tell the rows of a key apart, as the id in it does.
+    and only the columns that are read later move. Of rows that ``order`` does not
+    tell apart, such as one article delivered twice, one is kept; they lie together
+    after the join.
     """
     keyed = df.withColumn("dedup_key", dedup_key())
     winners = keyed.groupBy("dedup_key").agg(F.min(F.struct(*order)).alias("_first"))
@@ -43,7 +44,7 @@ def dedup(df: DataFrame, order: tuple[str, ...] = ARRIVAL_ORDER) -> DataFrame:
     same = keyed["dedup_key"] == winners["_k"]
     for c in order:
         same = same & keyed[c].eqNullSafe(winners[f"_{c}"])
-    return keyed.join(winners, same, "left_semi")
+    return keyed.join(winners, same, "left_semi").dropDuplicates(["dedup_key", *order])
 
 
 def dedup_counts(df: DataFrame, *group: str) -> DataFrame:

