@@ -117,6 +117,75 @@ def _fill_sql(name: str, nodes: str, parent: str) -> str:
 {name}_a AS (SELECT * EXCLUDE (budget), CASE WHEN sat THEN cap::HUGEINT ELSE (rem * w) // open END AS alloc FROM {name}_r)"""
 
 
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+# Every pair of texts that share a shingle, and the classes of the links among them.
+_NEAR_SQL = f"""
+WITH RECURSIVE texts AS (SELECT coalesce(text, '') AS text, min(doc_id) AS rep, count(*) AS copies FROM documents GROUP BY 1),
+worded AS (SELECT rep, copies, {_WORDS} AS ws FROM texts),
+pieces AS (SELECT rep, copies, unnest(CASE WHEN len(ws) >= 5
+    THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
+    WHEN len(ws) > 0 THEN [array_to_string(ws, ' ') || ' '] ELSE [] END) AS k FROM worded),
+counted AS (SELECT rep, copies, k, count(*) AS n FROM pieces GROUP BY ALL),
+idf AS (SELECT k, ln(1 + 1 / greatest(sum(copies) / (SELECT count(*) FROM documents), 0.2)) AS v FROM counted GROUP BY k),
+weighed AS (SELECT rep, k, n * v AS x FROM counted JOIN idf USING (k)),
+total AS (SELECT rep, sum(x) AS s FROM weighed GROUP BY rep),
+shared AS (SELECT a.rep AS a, b.rep AS b, sum(least(a.x, b.x)) AS m FROM weighed a JOIN weighed b ON a.k = b.k AND a.rep < b.rep GROUP BY ALL),
+links AS (SELECT a, b FROM shared JOIN total x ON x.rep = a JOIN total y ON y.rep = b WHERE m / (x.s + y.s - m) >= 0.8 - 1e-9),
+ends AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT rep AS node, rep AS root FROM texts UNION SELECT e.b, r.root FROM reach r JOIN ends e ON e.a = r.node),
+classes AS (SELECT node, min(root) AS class_id FROM reach GROUP BY node),
+sized AS (SELECT class_id, CAST(sum(copies) AS BIGINT) AS n_in_class FROM classes JOIN texts ON rep = node GROUP BY class_id)
+SELECT doc_id, class_id, n_in_class FROM documents d JOIN texts t ON t.text = coalesce(d.text, '')
+JOIN classes ON node = rep JOIN sized USING (class_id)"""
+
+_REPEATS_SQL = f"""
+WITH worded AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(ws[i:i + 19], ' ') AS k FROM worded, unnest(range(1, len(ws) - 18)) AS r(i)),
+later AS (SELECT doc_id, i FROM windows QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, i) > 1),
+gone AS (SELECT DISTINCT doc_id, i + j AS p FROM later, range(20) AS r(j)),
+placed AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM worded),
+marked AS (SELECT doc_id, p, word, gone.p IS NOT NULL AS g FROM placed LEFT JOIN gone USING (doc_id, p)),
+runs AS (SELECT *, g AND NOT coalesce(lag(g) OVER (PARTITION BY doc_id ORDER BY p), false) AS opens FROM marked)
+SELECT w.doc_id, count(p) AS n_words, count(*) FILTER (g) AS n_removed,
+    sha256(coalesce(string_agg(word, ' ' ORDER BY p) FILTER (NOT g), '')) AS kept_sha256,
+    CAST(count(*) FILTER (opens) AS INTEGER) AS n_spans
+FROM worded w LEFT JOIN runs r ON r.doc_id = w.doc_id GROUP BY w.doc_id"""
+
+
+def _rules_sql() -> str:
+    rows = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in urls.RULES)
+    return f"(VALUES {rows}) AS r(rule_host, rule_path, says)"
+
+
+_HOST = "translate(regexp_extract({0}, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_PATH = "regexp_extract({0}, '(?s)^.*?://([^/?#]*)([^?#]*)', 2)"
+
+
+def _judged_sql(source: str) -> str:
+    return f"""SELECT u.*, max_by(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+    max_by(says, length(rule_host || rule_path)) AS says FROM {source} u LEFT JOIN {_rules_sql()}
+    ON (u.host = rule_host OR ends_with(u.host, '.' || rule_host)) AND starts_with(u.path, rule_path) GROUP BY ALL"""
+
+
+_URLS_SQL = f"""
+WITH RECURSIVE tags AS (SELECT url, unnest(regexp_extract_all(html, '(?i)<(?:link|meta)[^>]*>')) AS tag FROM pages),
+targets AS (SELECT url, CASE
+    WHEN regexp_matches(tag, '(?i)^<link.*rel *= *["'']?canonical') THEN regexp_extract(tag, '(?i)href *= *["'']?([^"'' >]+)', 1)
+    WHEN regexp_matches(tag, '(?i)^<meta.*http-equiv *= *["'']?refresh') THEN regexp_extract(tag, '(?i)url *= *([^"'' >]+)', 1) END AS t FROM tags),
+absolute AS (SELECT url AS a, CASE WHEN contains(t, '://') THEN t WHEN starts_with(t, '//') THEN 'http:' || t
+    WHEN starts_with(t, '/') THEN regexp_extract(url, '(?s)^(.*?)://', 1) || '://' || {_HOST.format('url')} || t END AS b FROM targets WHERE t <> ''),
+named AS (SELECT url, {_HOST.format('url')} AS host, {_PATH.format('url')} AS path FROM
+    (SELECT url FROM pages UNION SELECT b FROM absolute WHERE b IS NOT NULL)),
+judged AS (SELECT *, CASE WHEN host <> '' THEN host || regexp_replace(path, '/+$', '') ||
+    regexp_extract(url, '(?s)^[^?#]*(\\?[^#]*)', 1) END AS key FROM ({_judged_sql('named')})),
+ends AS (SELECT x.key AS a, y.key AS b FROM absolute JOIN judged x ON x.url = a JOIN judged y ON y.url = b),
+reach AS (SELECT DISTINCT key AS node FROM judged WHERE says = 'block' AND key IS NOT NULL
+    UNION SELECT e.b FROM reach JOIN (SELECT a, b FROM ends UNION ALL SELECT b, a FROM ends) e ON e.a = node)
+SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule,
+    coalesce(says, CASE WHEN key IN (SELECT node FROM reach) THEN 'block' ELSE 'allow' END) AS verdict
+FROM pages LEFT JOIN judged USING (url)"""
+
 _DOMAIN = "ascii(right('0' || coalesce(source, ''), 1)) % 3"
 
 ORACLES: dict[str, str] = {
@@ -135,5 +204,8 @@ ranked AS (SELECT i.*, s.alloc // greatest(s.tokens, 1) AS whole, s.alloc % grea
 summed AS (SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source
     ORDER BY md5('1:' || whole::VARCHAR || ':' || item), item ROWS UNBOUNDED PRECEDING) AS upto FROM ranked)
 SELECT TRY_CAST(item AS BIGINT) AS doc_id, domain, lang, source, n_tokens,
-    (whole + CASE WHEN upto <= rest AND rest >= 0 THEN 1 ELSE 0 END)::BIGINT AS copies FROM summed"""
+    (whole + CASE WHEN upto <= rest AND rest >= 0 THEN 1 ELSE 0 END)::BIGINT AS copies FROM summed""",
+    "op4_weighted_sampling": _NEAR_SQL,
+    "op8_redirect_classes": _URLS_SQL,
+    "op9_prefix_subtrees": _REPEATS_SQL,
 }
