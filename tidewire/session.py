@@ -12,14 +12,20 @@ from pyspark.sql import functions as F
 
 Step = Callable[[DataFrame], DataFrame]
 
+SPREAD_BYTES = 256 * 1024 * 1024  # largest input, as the planner estimates it, that is dealt out over the cores
+
 _SCOPES: list[list[str]] = []  # folders written inside each open scratch scope
 
 
-def build_session(app: str = "tidewire", master: str | None = None, **conf: str) -> SparkSession:
+def build_session(
+    app: str = "tidewire", master: str | None = None, initial_partitions: int | None = None, **conf: str
+) -> SparkSession:
     """Session with the settings the operators expect.
 
-    Shuffle width is left to adaptive execution: start wide, let AQE coalesce
-    small partitions and split the skewed ones.
+    Shuffle width is left to adaptive execution: it starts with
+    ``initial_partitions`` (some thousands for terabytes; Spark's shuffle width if
+    not given), coalesces small partitions and splits the skewed ones. Stateful
+    streams keep ``spark.sql.shuffle.partitions``.
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -31,6 +37,8 @@ def build_session(app: str = "tidewire", master: str | None = None, **conf: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
+    if initial_partitions:
+        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(initial_partitions)
     settings.update(conf)
     for key, value in settings.items():
         builder = builder.config(key, value)
@@ -83,11 +91,14 @@ def cut_lineage(df: DataFrame, label: str) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """Use all cores on a small input.
 
-    A table read with fewer tasks than there are cores (few files, or one large
+    A small table read with fewer tasks than there are cores (few files, or one
     row group) leaves most of them idle under text work, so its rows are dealt
-    out. Inputs with more partitions than cores, that is all large ones, are
-    returned as they are and never shuffled here.
+    out. Inputs above ``SPREAD_BYTES`` are returned as they are, whatever the
+    number of cores: their texts are never shuffled here.
     """
+    plan = df._jdf.queryExecution().optimizedPlan()
+    if int(plan.stats().sizeInBytes().toString()) > SPREAD_BYTES:
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
