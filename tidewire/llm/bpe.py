@@ -4,10 +4,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
 from array import array
 from collections.abc import Iterator
-from itertools import chain
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -15,66 +14,68 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 CACHED_CHARS = 48  # longer pre-tokens are merged anew each time
-CACHED_PIECES = 300_000  # the cache is emptied when it holds so many
+CACHED_PIECES = 500_000  # the cache is emptied when it holds so many
 SLICE = 512  # rows per output batch
 
 
+_BIT = [1 << i for i in range(256)]
+
+
 class RankQueue:
     """Positions by merge rank; the lowest rank comes first, within it the leftmost position.
 
-    One bucket per rank holds positions. Three levels of 64-bit words mark which
-    buckets hold any: the lowest set bit of the top word leads down to the next
-    rank in three steps, whatever the number of ranks.
+    One bucket per rank holds positions. Two levels of 256-bit words mark which
+    buckets hold any: the lowest set bit of the top word names the leaf, the
+    lowest of the leaf the rank, whatever the number of ranks (up to 65,536).
     """
 
-    def __init__(self, ranks: int):
-        self.leaf = [0] * (ranks // 64 + 1)
-        self.middle = [0] * (len(self.leaf) // 64 + 1)
+    def __init__(self):
+        self.leaf = [0] * 256
         self.top = 0
         self.buckets: dict[int, list[int]] = {}
 
     def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            heapq.heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
-        self.leaf[rank >> 6] |= 1 << (rank & 63)
-        self.middle[rank >> 12] |= 1 << ((rank >> 6) & 63)
-        self.top |= 1 << (rank >> 12)
+        if rank in self.buckets:
+            heappush(self.buckets[rank], position)
+        else:
+            self.buckets[rank] = [position]
+            self.leaf[rank >> 8] |= _BIT[rank & 255]
+            self.top |= _BIT[rank >> 8]
 
     def pop(self) -> tuple[int, int] | None:
-        if not self.top:
+        top = self.top
+        if not top:
             return None
-        a = (self.top & -self.top).bit_length() - 1
-        word = self.middle[a]
-        b = (a << 6) | ((word & -word).bit_length() - 1)
-        word = self.leaf[b]
-        rank = (b << 6) | ((word & -word).bit_length() - 1)
+        a = (top & -top).bit_length() - 1
+        word = self.leaf[a]
+        rank = (a << 8) + (word & -word).bit_length() - 1
         bucket = self.buckets[rank]
-        position = heapq.heappop(bucket)
+        position = heappop(bucket)
         if not bucket:
             del self.buckets[rank]
-            self.leaf[b] &= ~(1 << (rank & 63))
-            if not self.leaf[b]:
-                self.middle[a] &= ~(1 << (b & 63))
-                if not self.middle[a]:
-                    self.top &= ~(1 << a)
+            self.leaf[a] ^= _BIT[rank & 255]
+            if not self.leaf[a]:
+                self.top ^= _BIT[a]
         return rank, position
 
 
 class Encoder(dict):
-    """Ids of a pre-token, as a dictionary that computes and remembers what it lacks."""
+    """Ids of a pre-token as packed 32-bit numbers: a dictionary that computes and remembers what it lacks."""
 
     def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
         self.ranks = ranks
-        self.queue = RankQueue(max(ranks.values()) + 1)
-
-    def __missing__(self, piece: str) -> tuple[int, ...]:
+        self.queue = RankQueue()
+        # Ranks of two-byte tokens by their bytes, for the first look at a pre-token.
+        self.pairs = [-1] * 65536
+        for token, rank in ranks.items():
+            if len(token) == 2:
+                self.pairs[token[0] << 8 | token[1]] = rank
+
+    def __missing__(self, piece: str) -> bytes:
         data = piece.encode("utf-8")
         whole = self.ranks.get(data)
-        ids = (whole,) if whole is not None else tuple(self.merge(data))
+        ids = array("i", (whole,) if whole is not None else self.merge(data)).tobytes()
         if len(piece) <= CACHED_CHARS:
             if len(self) >= CACHED_PIECES:
                 self.clear()
@@ -88,35 +89,63 @@ class Encoder(dict):
         pairs at two positions; their old entries stay queued and are skipped when
         they come up, as the rank noted for the position is then another.
         """
-        n, ranks, queue = len(data), self.ranks, self.queue
-        after, before, pair = list(range(1, n + 1)), list(range(-1, n - 1)), [-1] * n
-        for i in range(n - 1):
-            rank = ranks.get(data[i : i + 2])
-            if rank is not None:
-                pair[i] = rank
-                queue.push(rank, i)
-        while (entry := queue.pop()) is not None:
-            rank, i = entry
-            if pair[i] != rank:
-                continue
-            j = after[i]
-            pair[j] = -1
-            after[i] = k = after[j]
-            if k < n:
-                before[k] = i
-                new = ranks.get(data[i : after[k]])
-                pair[i] = -1 if new is None else new
-                if new is not None:
-                    queue.push(new, i)
-            else:
-                pair[i] = -1
-            p = before[i]
-            if p >= 0:
-                new = ranks.get(data[p:k])
-                pair[p] = -1 if new is None else new
-                if new is not None:
-                    queue.push(new, p)
-        ids, i = [], 0
+        n, queue, pairs = len(data), self.queue, self.pairs
+        rank_of, leaf, buckets, bit, top = self.ranks.get, queue.leaf, queue.buckets, _BIT, 0
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        pair = [pairs[a << 8 | b] for a, b in zip(data, data[1:])]
+        pair.append(-1)
+        # The queue's steps are written out here: a call for each would cost more than the step.
+        for i, rank in enumerate(pair):
+            if rank >= 0:
+                if rank in buckets:
+                    buckets[rank].append(i)
+                else:
+                    buckets[rank] = [i]
+                    leaf[rank >> 8] |= bit[rank & 255]
+                    top |= bit[rank >> 8]
+        while top:
+            a = (top & -top).bit_length() - 1
+            word = leaf[a]
+            rank = (a << 8) + (word & -word).bit_length() - 1
+            bucket = buckets[rank]
+            lower = False
+            while bucket and not lower:
+                i = heappop(bucket)
+                if pair[i] != rank:
+                    continue
+                j = after[i]
+                pair[j] = -1
+                after[i] = k = after[j]
+                p = before[i]
+                if k < n:
+                    before[k] = i
+                    new = pair[i] = rank_of(data[i : after[k]], -1)
+                    if new >= 0:
+                        lower = new < rank
+                        if new in buckets:
+                            heappush(buckets[new], i)
+                        else:
+                            buckets[new] = [i]
+                            leaf[new >> 8] |= bit[new & 255]
+                            top |= bit[new >> 8]
+                else:
+                    pair[i] = -1
+                if p >= 0:
+                    new = pair[p] = rank_of(data[p:k], -1)
+                    if new >= 0:
+                        lower = lower or new < rank
+                        if new in buckets:
+                            heappush(buckets[new], p)
+                        else:
+                            buckets[new] = [p]
+                            leaf[new >> 8] |= bit[new & 255]
+                            top |= bit[new >> 8]
+            if not bucket:
+                del buckets[rank]
+                leaf[a] ^= bit[rank & 255]
+                if not leaf[a]:
+                    top ^= bit[a]
+        ids, i, ranks = [], 0, self.ranks
         while i < n:
             ids.append(ranks[data[i : after[i]]])
             i = after[i]
@@ -166,13 +195,10 @@ class Tokenizer:
             for whole in batches:
                 for start in range(0, whole.num_rows, SLICE):
                     batch = whole.slice(start, SLICE)
-                    flat, offsets = array("i"), array("i", [0])
-                    for text in batch.column(batch.schema.names.index(text_col)):
-                        flat.extend(chain.from_iterable(map(ids_of, split(text.as_py() or ""))))
-                        offsets.append(len(flat))
+                    packed = [b"".join(map(ids_of, split(text.as_py() or ""))) for text in batch.column(batch.schema.names.index(text_col))]
+                    offsets = np.cumsum([0, *map(len, packed)]) // 4
                     lists = pa.ListArray.from_arrays(
-                        pa.array(np.frombuffer(offsets, dtype=np.int32)),
-                        pa.array(np.frombuffer(flat, dtype=np.int32) if len(flat) else np.empty(0, np.int32)),
+                        pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(packed), dtype=np.int32))
                     )
                     yield pa.RecordBatch.from_arrays([batch.column(batch.schema.names.index(c)) for c in kept] + [lists], names=[*kept, out])
 
