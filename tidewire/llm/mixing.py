@@ -13,6 +13,7 @@ from tidewire.llm.tables import words_of
 from tidewire.session import cut_lineage
 
 LEVELS = ("domain", "lang", "source")
+FEW_LEAVES = 20_000  # leaves whose plan is broadcast
 _WIDE = "decimal(38,0)"
 
 
@@ -101,15 +102,18 @@ def select_epochs(items: DataFrame, plan: DataFrame, seed: int, levels: Sequence
     plan = plan.select(
         *leaf, F.expr("alloc DIV greatest(tokens, 1)").alias("whole"), F.expr("alloc % greatest(tokens, 1)").alias("rest")
     )
-    rows = items.join(plan, leaf)
+    # A row per leaf: a counted few are broadcast, so the items of a hot leaf stay spread; more are
+    # joined on the leaf, where adaptive execution splits a hot one.
+    small = F.broadcast if plan.limit(FEW_LEAVES + 1).count() <= FEW_LEAVES else (lambda df: df)
+    rows = items.join(small(plan), leaf)
     rank = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("whole").cast("string"), F.col("item")).cast("binary"))
     rows = rows.withColumn("rank", rank)
     rows = cut_lineage(
         rows.withColumn("b1", F.conv(F.substring("rank", 1, 3), 16, 10).cast("int")).withColumn("b2", F.conv(F.substring("rank", 4, 3), 16, 10).cast("int")), "ranked"
     )
-    rows = rows.join(_boundary(rows, leaf, "b1", "rest"), leaf, "left")
+    rows = rows.join(small(_boundary(rows, leaf, "b1", "rest")), leaf, "left")
     edge = rows.where("b1 = at_b1")
-    rows = cut_lineage(rows.join(_boundary(edge, leaf, "b2", "left_b1"), leaf, "left"), "edges")
+    rows = cut_lineage(rows.join(small(_boundary(edge, leaf, "b2", "left_b1")), leaf, "left"), "edges")
     last = rows.where("b1 = at_b1 AND b2 = at_b2")
     taken = last.withColumn("to", F.sum("n_tokens").over(W.partitionBy(*leaf).orderBy("rank", "item").rowsBetween(W.unboundedPreceding, 0)))
     taken = taken.select(*items.columns, "whole", (F.col("to") <= F.col("left_b2")).alias("in"))
