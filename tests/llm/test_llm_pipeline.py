@@ -43,14 +43,14 @@ def small(spark, tmp_path_factory):
     """Documents with a clashing extra column, nulls, copies and junk, and labels."""
     folder = str(tmp_path_factory.mktemp("small"))
     rows = [(i, words(i, 40 + i % 30), "en" if i % 2 else "fr", f"src{i % 4}", 0, "x") for i in range(120)]
-    rows += [(200 + i, f"{words(i, 40)} mail ab.{i}@c.example.org card 4111111111111111", "en", "src1", 0, "x") for i in range(10)]
+    rows += [(200 + i, f"{words(1000 + i, 40)} mail ab.{i}@c.example.org card 4111111111111111", "en", "src1", 0, "x") for i in range(10)]
     rows += [(300 + i, rows[i][1], "en", "src0", 0, "y") for i in range(20)]  # copies
     rows += [(400 + i, rows[i][1] + " more", "en", "src0", 0, "y") for i in range(20)]  # near copies
     rows += [(500 + i, " ".join(w + "###" for w in words(500 + i, 50).split()), "en", "src2", 0, "z") for i in range(30)]  # junk
     rows += [(600, None, None, None, None, None), (None, words("n", 50), None, None, 0, None), (None, words("n", 50), None, None, 0, None), (601, "", "en", "src0", 0, "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, kept string")
     docs.write.parquet(os.path.join(folder, "documents.parquet"))
-    labels = [(i, 1, 0) for i in range(0, 120, 2)] + [(500 + i, 0, 0) for i in range(0, 30)]
+    labels = [(i, 1, 0) for i in [*range(0, 120, 2), *range(200, 210)]] + [(500 + i, 0, 0) for i in range(0, 30)]
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(os.path.join(folder, "labels.parquet"))
     return folder
 
