@@ -125,6 +125,60 @@ def near_texts():
     return out + [out[0], out[0], None, "", " ", "a b", "a  b", "a b"]
 
 
+@pytest.mark.parametrize("full", [32_768, 10])
+def test_large_buckets_lose_no_link(spark, monkeypatch, full):
+    for name, value in {"SMALL": 20, "PIVOTS": 2, "OTHERS": 16, "MEMBERS": 32, "FULL": full}.items():
+        monkeypatch.setattr(weighted, name, value)
+    rnd = random.Random(5)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(6))
+    base, texts = [word() for _ in range(150)], []
+    for _ in range(160):  # edits cost about 5 of some 146 shingles each: two texts are 0.7 to 0.9 alike
+        copy = list(base)
+        for _ in range(rnd.randint(1, 3)):
+            copy[rnd.randrange(len(copy))] = word()
+        texts.append(" ".join(copy))
+    sets = [shingles(t) for t in texts]
+    share = Counter(s for c in sets for s in c)
+    share = {s: n / len(texts) for s, n in share.items()}
+    near = {(i, j): similarity(sets[i], sets[j], share) for i in range(160) for j in range(i)}
+    assert sum(0.75 < x < 0.85 for x in near.values()) > 1500
+    sig = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = weighted.signatures(sig, weighted.common_shingles(sig)).select(
+        F.explode("keys").alias("key"), F.lit(0).alias("at"), "doc_id", F.col("doc_id").alias("node"), F.col("doc_id").alias("cls"), "sig"
+    ).cache()
+    signs = {r["doc_id"]: np.frombuffer(r["sig"], np.uint8) for r in rows.select("doc_id", "sig").distinct().collect()}
+    met = {}
+    for r in rows.collect():
+        met.setdefault(r["key"], set()).add(r["doc_id"])
+    assert max(map(len, met.values())) > 20
+    # Every pair of a bucket that agrees often enough is found, however large the bucket.
+    want = {(a, b) for m in met.values() for a in m for b in m if a < b and (signs[a] == signs[b]).sum() >= weighted.MAYBE}
+    got = {(r["a"], r["b"]) for r in weighted.pairs_between_classes(weighted.mixed_buckets(rows.drop("doc_id")), False).collect()}
+    assert got <= want and len(want - got) <= (0 if full > 1000 else 0.002 * len(want))
+
+
+def test_settled_members_still_meet_each_other(spark, monkeypatch):
+    """Two texts linked to each other but only near the others of their buckets, whatever the pivots are."""
+    for name, value in {"SMALL": 4, "PIVOTS": 2}.items():
+        monkeypatch.setattr(weighted, name, value)
+    rnd = random.Random(23)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(6))
+    common, texts = [word() for _ in range(160)], []
+    for _ in range(30):  # pairs: 0.75 alike between them, 0.9 within
+        own = [word() for _ in range(26)]
+        for _ in range(2):
+            texts.append(" ".join(common + own + [word() for _ in range(4)]))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = [shingles(t) for t in texts]
+    share = Counter(s for c in sets for s in c)
+    share = {s: n / len(texts) for s, n in share.items()}
+    near = {(i, j): similarity(sets[i], sets[j], share) for i in range(60) for j in range(i)}
+    assert {p for p, x in near.items() if x >= 0.8} == {(i + 1, i) for i in range(0, 60, 2)}
+    assert sum(x > 0.5 for x in near.values()) > 1700
+    got = {r["doc_id"]: (r["class_id"], r["n_in_class"]) for r in weighted.near_duplicates(df)[0].collect()}
+    assert got == {i: (i - i % 2, 2) for i in range(60)}
+
+
 def test_classes_match_brute_force(spark):
     rows = list(enumerate(near_texts()))
     df = spark.createDataFrame([(i, t, 5) for i, t in rows], "doc_id long, text string, class_id int").repartition(4, "doc_id")
