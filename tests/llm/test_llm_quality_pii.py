@@ -120,6 +120,24 @@ def test_valid_values_change_within_their_format(spark):
     assert int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
 
 
+BESIDE = [
+    "4111 1111 1111 1111", "4111-1111-1111-1111", "4111111111111111", "3782 822463 10005", "DE89 3704 0044 0532 0130 00", "DE89370400440532013000",
+    "FR14 2004 1010 0505 0001 3M02 606", "+33 1 23 45 67 89", "-john@x.org", "_a@x.org", "192.168.10.7", "2021-03-04", "123-45-6789", "password=" + "aB3" * 60,
+]
+
+
+FRAMES = ["{}", "qty 2 {} 123", "{} 12/27", "A {} BIC COBADEFFXXX", "NO12 {} EUR 17 OK", "IBAN {} 99", "_ {}, x", "7 {}"]
+
+
+def test_values_are_found_beside_numbers_and_capitals(spark):
+    cases = [(f.format(v), [v]) for v in BESIDE for f in FRAMES] + [(f"{v} {w}", [v, w]) for v in BESIDE for w in BESIDE]
+    left = []
+    for (before, values), after in zip(cases, swap(spark, [c[0] for c in cases])):
+        if any(v.lstrip("-") in after for v in values):
+            left.append((before, after))
+    assert not left
+
+
 def test_invalid_values_and_plain_texts_stay(spark):
     rows = [None, "", "no data", "4336147440738034", "999.1.1.1", "2024-02-30", "000-12-1234", "DE00 3704 0044 0532 0130 00", "a 12 b @ c", "1.2.3"]
     assert swap(spark, rows) == rows

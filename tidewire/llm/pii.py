@@ -8,29 +8,38 @@ in all documents and different values stay different.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 KEY = "demonstration key"  # a parameter; production passes its own secret
 ROUNDS = 8
+ANALYZER_STEPS = 500  # Spark resolves about one level of nested lambdas a step; its default of 100 is too few
 
-_EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9][A-Za-z0-9-]{0,62}(?:\.[A-Za-z0-9-]{1,63}){0,6}\.[A-Za-z]{2,24}(?![A-Za-z0-9-])"
-_SECRET = r"(?i:\b(?:password|passwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?)[A-Za-z0-9_\-]{8,128}(?![A-Za-z0-9_\-])"
-_IBAN = r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}\b"
+_EMAIL = r"[A-Za-z0-9_%+][A-Za-z0-9._%+-]{0,63}+@[A-Za-z0-9][A-Za-z0-9-]{0,62}(?:\.[A-Za-z0-9-]{1,63}){0,6}\.[A-Za-z]{2,24}(?![A-Za-z0-9-])"
+_SECRET = r"(?i:\b(?:password|passwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?)[A-Za-z0-9_\-]{8,}+"
+_IBAN_RUN = r"\b[A-Z]{2}[0-9]{2}[A-Z0-9 ]{10,}[A-Z0-9]\b"  # may go on into other words and numbers
 _IP = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"
 _ISO_DATE = r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9]|-[0-9])"
 _DOT_DATE = r"(?<![0-9./])[0-9]{2}[./][0-9]{2}[./][0-9]{4}(?![0-9]|[./][0-9])"
 _SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"
-_PHONE = r"(?<![0-9+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){2,3}(?![0-9])"
+_PHONE = r"(?<![0-9+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])"
 _LOCAL_PHONE = r"(?<![0-9+(.-])(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9]|-[0-9])"
-_CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
+_CARD_RUN = r"(?<![0-9])[0-9][0-9 -]{11,}[0-9]"  # may hold other numbers as well
+_CARD_GROUPS = r"^([0-9]{13,19}|[0-9]{4}([ -][0-9]{4}){3}([ -][0-9]{1,3})?|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5})$"
 
-KINDS = {
-    "secret": _SECRET, "email": _EMAIL, "iban": _IBAN, "ip": _IP, "iso_date": _ISO_DATE, "dot_date": _DOT_DATE,
-    "ssn": _SSN, "phone": _PHONE, "local_phone": _LOCAL_PHONE, "card": _CARD,
-}
+_NAMED = {"secret": _SECRET, "email": _EMAIL}
+_NUMBERS = {"ip": _IP, "iso_date": _ISO_DATE, "dot_date": _DOT_DATE, "ssn": _SSN, "phone": _PHONE, "local_phone": _LOCAL_PHONE}
+KINDS = _NAMED | {"iban": _IBAN_RUN} | _NUMBERS | {"card": _CARD_RUN}
 PATTERN = "|".join(f"(?:{p})" for p in KINDS.values())
 
+_IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FO FI GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_IBAN_LENGTH = {country: n for n, countries in _IBAN_LENGTHS.items() for country in countries.split()}
+
 # 1900-01-01 to 2099-12-31 has 73,049 = 319 * 229 days, so two mixed-radix halves permute it exactly.
 _DAYS_HIGH, _DAYS_LOW, _FIRST_DAY = 319, 229, "1900-01-01"
 
@@ -202,37 +211,140 @@ def _is(kind: str, m: Column) -> Column:
     return m.rlike(f"(?s)\\A(?:{KINDS[kind]})\\z")
 
 
-def pseudonym(m: Column, key: str = KEY) -> Column:
-    """The pseudonym of one match of ``PATTERN``; a match that is no valid value comes back as it is."""
+def _pseudonym(m: Column, key: str) -> Column:
+    """The pseudonym of a match of one of ``_NAMED`` or ``_NUMBERS``, or null if it is no valid value."""
     digits = F.regexp_replace(m, "[^0-9]", "")
-    plain = F.replace(m, F.lit(" "), F.lit(""))
     octets_fit = F.forall(F.split(m, r"\."), lambda o: (o.cast("int") < 256) & ((F.length(o) == 1) | ~o.startswith("0")))
     return (
         F.when(_is("secret", m), _secret(m, key))
         .when(_is("email", m), _email(m, key))
-        .when(_is("iban", m), F.when(_mod97(plain) == 1, _iban(m, key)).otherwise(m))
-        .when(_is("ip", m), F.when(octets_fit, _ip(m, key)).otherwise(m))
+        .when(_is("ip", m), F.when(octets_fit, _ip(m, key)))
         .when(_is("iso_date", m), _date(m, key, "iso_date"))
         .when(_is("dot_date", m), _date(m, key, "dot_date"))
-        .when(_is("ssn", m), F.when(m.rlike("^(?!000|666|9)...-(?!00)..-(?!0000)"), _refill(m, permute_text(digits, key, "ssn"))).otherwise(m))
+        .when(_is("ssn", m), F.when(m.rlike("^(?!000|666|9)...-(?!00)..-(?!0000)"), _refill(m, permute_text(digits, key, "ssn"))))
         .when(_is("phone", m) | _is("local_phone", m), _phone(m, key))
-        .when(_is("card", m), F.when(_luhn_sum(digits) % 10 == 0, _card(m, key)).otherwise(m))
-        .otherwise(m)
     )
 
 
+# A text under way is an array of strings: plain ones at even places, pseudonyms at odd places between them.
+_PARTS = "array<string>"
+
+
+def _parts_of(pairs: Column) -> Column:
+    """Parts of ``pairs`` (plain, kept, new): the plain strings, each followed by a pseudonym, or by ``kept`` where that is null."""
+    start = F.struct(F.array().cast(_PARTS).alias("done"), F.lit("").alias("open"))
+
+    def step(state: Column, x: Column) -> Column:
+        text = F.concat(state["open"], x["plain"])
+        return F.when(x["new"].isNull(), F.struct(state["done"].alias("done"), F.concat(text, x["kept"]).alias("open"))).otherwise(
+            F.struct(F.concat(state["done"], F.array(text, x["new"])).alias("done"), F.lit("").alias("open"))
+        )
+
+    return F.aggregate(pairs, start, step, lambda state: F.concat(state["done"], F.array(state["open"])))
+
+
+def _pass(parts: Column, pattern: str, expand) -> Column:
+    """``expand`` of every plain part in which ``pattern`` is found."""
+    return F.flatten(F.transform(parts, lambda s, i: F.when((i % 2 == 0) & s.rlike(pattern), expand(s)).otherwise(F.array(s))))
+
+
+def _values_pass(parts: Column, kinds: dict, key: str) -> Column:
+    pattern = "|".join(f"(?:{p})" for p in kinds.values())
+
+    def expand(s: Column) -> Column:
+        pairs = F.zip_with(
+            F.split(s, pattern, -1), F.regexp_extract_all(s, F.lit(pattern), F.lit(0)),
+            lambda p, m: F.struct(p.alias("plain"), F.coalesce(m, F.lit("")).alias("kept"), _pseudonym(m, key).alias("new")),
+        )
+        return _parts_of(pairs)
+
+    return _pass(parts, pattern, expand)
+
+
+def _runs_pass(parts: Column, pattern: str, rank, new) -> Column:
+    """Within each run that ``pattern`` finds, the words that together make a valid value, from the left.
+
+    A run's words have their separators after them. ``rank(value, whole run)`` is
+    null for what is no value; of those that start at a word the highest is
+    taken, then the longest.
+    """
+
+    def values(run: Column) -> Column:
+        words = F.regexp_extract_all(run, F.lit("[A-Z0-9]+[ -]*"), F.lit(0))
+
+        def search(words: Column) -> Column:
+            def step(state: Column, i: Column) -> Column:
+                text_to = lambda j: F.regexp_replace(F.array_join(F.slice(words, i, j - i + 1), ""), "[ -]+$", "")
+                ends = F.sequence(i, F.least(F.size(words), i + 33))
+                tried = F.transform(ends, lambda j: _bind(text_to(j), lambda v: F.struct(rank(v, run).alias("rank"), j.alias("j"), v.alias("v"))))
+                best = F.array_max(F.filter(tried, lambda x: x["rank"].isNotNull()))
+                word = F.get(words, i - 1)
+
+                def move(x: Column) -> Column:
+                    gap = F.regexp_extract(F.get(words, x["j"] - 1), "([ -]*)$", 1)
+                    taken = F.array(
+                        F.struct(F.lit("").alias("plain"), F.lit("").alias("kept"), new(x["v"]).alias("new")),
+                        F.struct(gap.alias("plain"), F.lit("").alias("kept"), F.lit(None).cast("string").alias("new")),
+                    )
+                    left = F.array(F.struct(word.alias("plain"), F.lit("").alias("kept"), F.lit(None).cast("string").alias("new")))
+                    return F.when(x.isNull(), F.struct(F.concat(state["out"], left).alias("out"), (i + 1).alias("next"))).otherwise(
+                        F.struct(F.concat(state["out"], taken).alias("out"), (x["j"] + 1).alias("next"))
+                    )
+
+                return F.when(i < state["next"], state).otherwise(_bind(best, move))
+
+            start = F.struct(F.array().cast("array<struct<plain:string,kept:string,new:string>>").alias("out"), F.lit(1).alias("next"))
+            return F.aggregate(F.sequence(F.lit(1), F.size(words)), start, step, lambda state: state["out"])
+
+        return _bind(words, search)
+
+    def expand(s: Column) -> Column:
+        plain = lambda p: F.array(F.struct(p.alias("plain"), F.lit("").alias("kept"), F.lit(None).cast("string").alias("new")))
+        return _parts_of(F.flatten(F.zip_with(
+            F.split(s, pattern, -1), F.regexp_extract_all(s, F.lit(pattern), F.lit(0)),
+            lambda p, run: F.when(run.isNull(), plain(p)).otherwise(F.concat(plain(p), values(run))),
+        )))
+
+    return _pass(parts, pattern, expand)
+
+
+def _iban_rank(v: Column, run: Column) -> Column:
+    """2 with the length of its country, 1 with another, null if it is no valid number."""
+    lengths = F.create_map(*[F.lit(x) for pair in _IBAN_LENGTH.items() for x in pair])
+    plain = F.replace(v, F.lit(" "), F.lit(""))
+    right = F.coalesce(F.try_element_at(lengths, F.substring(v, 1, 2)) == F.length(plain), F.lit(False))
+    formed = v.rlike("^[A-Z]{2}[0-9]{2}") & ~v.contains("  ") & F.length(plain).between(15, 34)
+    return F.when(formed, F.when(_mod97(plain) == 1, F.when(right, 2).otherwise(1)))
+
+
+def _card_rank(grouped: bool):
+    """The whole run first, then what is grouped like a card, then, if not ``grouped``, any words."""
+
+    def rank(v: Column, run: Column) -> Column:
+        digits = F.regexp_replace(v, "[ -]", "")
+        level = F.when(v == run, 3).when(v.rlike(_CARD_GROUPS), 2).otherwise(F.lit(None).cast("int") if grouped else F.lit(1))
+        formed = F.length(digits).between(13, 19) & ~v.rlike("[ -]{2}") & level.isNotNull()
+        return F.when(formed, F.when(_luhn_sum(digits) % 10 == 0, level))
+
+    return rank
+
+
 def pseudonymize(text: Column, key: str = KEY) -> Column:
     """The text with every valid value replaced; a null text stays null.
 
     Texts without a digit or an ``@`` are passed through after one look. The
-    others are split at the matches, which are then put back as pseudonyms.
+    others are searched kind by kind in what the kinds before have left, so a
+    run that is no value as a whole, or holds two, hides none: cards grouped as
+    usual come before, other cards after the numbers that may stand beside them.
     """
-    matches = F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
-    pieces = F.split(text, PATTERN, -1)
-    joined = F.array_join(
-        F.zip_with(pieces, matches, lambda p, m: F.concat(p, F.when(m.isNull(), F.lit("")).otherwise(pseudonym(m, key)))), ""
-    )
-    return F.when(text.rlike("[0-9@=:]") & text.rlike(PATTERN), joined).otherwise(text)
+    conf = SparkSession.active().conf
+    conf.set("spark.sql.analyzer.maxIterations", max(ANALYZER_STEPS, int(conf.get("spark.sql.analyzer.maxIterations"))))
+    parts = _values_pass(F.array(text), _NAMED, key)
+    parts = _runs_pass(parts, _IBAN_RUN, _iban_rank, lambda v: _iban(v, key))
+    parts = _runs_pass(parts, r"(?<![0-9+])" + _CARD_RUN, _card_rank(True), lambda v: _card(v, key))
+    parts = _values_pass(parts, _NUMBERS, key)
+    parts = _runs_pass(parts, _CARD_RUN, _card_rank(False), lambda v: _card(v, key))
+    return F.when(text.rlike("[0-9@=:]") & text.rlike(PATTERN), F.array_join(parts, "")).otherwise(text)
 
 
 def pseudonymize_documents(docs: DataFrame, key: str = KEY, text_col: str = "text") -> DataFrame:
