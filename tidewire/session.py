@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 
 Step = Callable[[DataFrame], DataFrame]
 
-SPREAD_BYTES = 256 * 1024 * 1024  # largest input, as the planner estimates it, that is dealt out over the cores
-
 _SCOPES: list[list[str]] = []  # folders written inside each open scratch scope
 
 
@@ -88,21 +86,6 @@ def cut_lineage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on a small input.
-
-    A small table read with fewer tasks than there are cores (few files, or one
-    row group) leaves most of them idle under text work, so its rows are dealt
-    out. Inputs above ``SPREAD_BYTES`` are returned as they are, whatever the
-    number of cores: their texts are never shuffled here.
-    """
-    plan = df._jdf.queryExecution().optimizedPlan()
-    if int(plan.stats().sizeInBytes().toString()) > SPREAD_BYTES:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def pin(df: DataFrame, name: str, value: Column) -> DataFrame:
     """Add a costly column that is computed once per row, whatever reads it.
 

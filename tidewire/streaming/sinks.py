@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire.operators import graph, similarity
-from tidewire.session import cut_lineage, scratch_dir, scratch_scope, spread
+from tidewire.session import cut_lineage, scratch_dir, scratch_scope
 
 BatchFn = Callable[[DataFrame, int], None]
 
@@ -130,9 +130,8 @@ def scoring_writer(corpus: DataFrame, out: str, k: int = 20, threshold: float =
 
 
 def prepared(write: BatchFn, prepare: Callable[[DataFrame], DataFrame]) -> BatchFn:
-    """Run ``prepare`` on each batch before it is written; a small batch is dealt
-    out over the cores first."""
-    return lambda batch, batch_id: write(prepare(spread(batch)), batch_id)
+    """Run ``prepare`` on each batch before it is written."""
+    return lambda batch, batch_id: write(prepare(batch), batch_id)
 
 
 def run_batches(stream: DataFrame, write: BatchFn, label: str) -> None:
