@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import bpe, fingerprints, mixing, pii, quality, sharding, suffixes, urls, weighted, wordpiece
+from tidewire.llm import bpe, fingerprints, infill, mixing, pii, quality, sharding, suffixes, urls, weighted, wordpiece
 from tidewire.llm.tables import table
 from tidewire.session import scratch_dir
 
@@ -90,11 +90,18 @@ def op10_quartile_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op12_displacement_scatter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.infill_documents(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_budget_tree, op2_longest_match, op3_decision_list, op4_weighted_sampling, op5_virtual_slots, op6_rank_queue, op7_pseudonyms,
-        op8_redirect_classes, op9_prefix_subtrees, op10_quartile_digest,
+        op8_redirect_classes, op9_prefix_subtrees, op10_quartile_digest, op12_displacement_scatter,
     )
 }
 
@@ -153,6 +160,19 @@ SELECT w.doc_id, count(p) AS n_words, count(*) FILTER (g) AS n_removed,
 FROM worded w LEFT JOIN runs r ON r.doc_id = w.doc_id GROUP BY w.doc_id"""
 
 
+_INFILL_SQL = """
+WITH cut AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+    sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS d FROM documents),
+drawn AS (SELECT doc_id, t, u, len(u) AS n, list_transform([1, 9, 17, 25], lambda i: CAST('0x' || substr(d, i, 8) AS BIGINT)) AS h FROM cut),
+placed AS (SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS lo, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS hi,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+    WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+parts AS (SELECT *, array_to_string(u[1:lo], '') AS p, array_to_string(u[lo + 1:hi], '') AS m, array_to_string(u[hi + 1:n], '') AS s FROM placed)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256 FROM parts"""
+
+
 def _rules_sql() -> str:
     rows = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in urls.RULES)
     return f"(VALUES {rows}) AS r(rule_host, rule_path, says)"
@@ -208,4 +228,5 @@ SELECT TRY_CAST(item AS BIGINT) AS doc_id, domain, lang, source, n_tokens,
     "op4_weighted_sampling": _NEAR_SQL,
     "op8_redirect_classes": _URLS_SQL,
     "op9_prefix_subtrees": _REPEATS_SQL,
+    "op12_displacement_scatter": _INFILL_SQL,
 }
