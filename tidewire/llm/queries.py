@@ -6,12 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import bpe, fingerprints, infill, mixing, pii, quality, sharding, suffixes, urls, weighted, wordpiece
+from tidewire.llm import alignment, bpe, fingerprints, infill, mixing, pii, quality, sharding, suffixes, urls, weighted, wordpiece
 from tidewire.llm.tables import table
 from tidewire.session import scratch_dir
 
 
 WORD_PIECES = public_tokenizers.path("piece_bpe_32k.model")
+BYTE_LEVEL = public_tokenizers.path("byte_bpe_50k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -97,11 +98,15 @@ def op12_displacement_scatter(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_distinct_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_tokenizers(table(spark, sf_dir, "documents"), BYTE_LEVEL, WORD_PIECES)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_budget_tree, op2_longest_match, op3_decision_list, op4_weighted_sampling, op5_virtual_slots, op6_rank_queue, op7_pseudonyms,
-        op8_redirect_classes, op9_prefix_subtrees, op10_quartile_digest, op12_displacement_scatter,
+        op8_redirect_classes, op9_prefix_subtrees, op10_quartile_digest, op12_displacement_scatter, op13_distinct_alignment,
     )
 }
 
