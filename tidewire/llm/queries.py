@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import alignment, bpe, fingerprints, infill, mixing, pii, quality, sharding, suffixes, urls, weighted, wordpiece
+from tidewire.llm import alignment, bpe, fingerprints, infill, mixing, pii, quality, sharding, suffixarrays, suffixes, urls, weighted, wordpiece
 from tidewire.llm.tables import table
 from tidewire.session import scratch_dir
 
@@ -91,6 +91,11 @@ def op10_quartile_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op11_lyndon_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = suffixarrays.remove_repeats(table(spark, sf_dir, "documents"), shape=lambda kept: F.sha2(kept, 256))
+    return cleaned.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.col("kept").alias("kept_sha256"))
+
+
 def op12_displacement_scatter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infill.infill_documents(table(spark, sf_dir, "documents")).select(
         "doc_id", "n", "form", "prefix_chars", "middle_chars",
@@ -106,7 +111,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_budget_tree, op2_longest_match, op3_decision_list, op4_weighted_sampling, op5_virtual_slots, op6_rank_queue, op7_pseudonyms,
-        op8_redirect_classes, op9_prefix_subtrees, op10_quartile_digest, op12_displacement_scatter, op13_distinct_alignment,
+        op8_redirect_classes, op9_prefix_subtrees, op10_quartile_digest, op11_lyndon_grouping, op12_displacement_scatter, op13_distinct_alignment,
     )
 }
 
