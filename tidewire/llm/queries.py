@@ -182,6 +182,21 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_c
     sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
     ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256 FROM parts"""
 
+# Texts as hexadecimal digits; their windows are cut out of pieces, as a place far into a string is slow to reach.
+_PASSAGES_SQL = """
+WITH b AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+parts AS (SELECT doc_id, length(x) // 2 AS n, o, substr(x, 2 * o + 1, 2 * 1073) AS c FROM b, unnest(range(0, greatest(length(x) // 2, 1), 1024)) AS r(o)),
+w AS (SELECT doc_id, o + i AS p, substr(c, 2 * i + 1, 100) AS k FROM parts, unnest(range(0, least(1024, n - 49 - o))) AS r(i)),
+firsts AS (SELECT md5(k) AS k, min(doc_id) AS d FROM w GROUP BY 1 HAVING count(DISTINCT doc_id) > 1),
+late AS (SELECT doc_id, p FROM w JOIN firsts ON firsts.k = md5(w.k) WHERE d < doc_id),
+gone AS (SELECT DISTINCT doc_id, p + j AS p FROM late, unnest(range(50)) AS r(j)),
+runs AS (SELECT doc_id, min(p) AS a, max(p) + 1 AS e FROM (SELECT doc_id, p, p - row_number() OVER (PARTITION BY doc_id ORDER BY p) AS g FROM gone) GROUP BY doc_id, g),
+cuts AS (SELECT doc_id, list(a ORDER BY a) AS s, list(e ORDER BY a) AS t, sum(e - a)::BIGINT AS n_removed, count(*) AS n_spans FROM runs GROUP BY doc_id)
+SELECT doc_id, length(x) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(CASE WHEN n_spans > 0 THEN array_to_string(list_transform(range(0, n_spans + 1), lambda i:
+    substr(x, (CASE WHEN i = 0 THEN 0 ELSE t[i] END) * 2 + 1, ((CASE WHEN i = n_spans THEN length(x) // 2 ELSE s[i + 1] END) - (CASE WHEN i = 0 THEN 0 ELSE t[i] END)) * 2)), '') ELSE x END)) AS kept_sha256
+FROM b LEFT JOIN cuts USING (doc_id)"""
+
 
 def _rules_sql() -> str:
     rows = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in urls.RULES)
@@ -238,5 +253,6 @@ SELECT TRY_CAST(item AS BIGINT) AS doc_id, domain, lang, source, n_tokens,
     "op4_weighted_sampling": _NEAR_SQL,
     "op8_redirect_classes": _URLS_SQL,
     "op9_prefix_subtrees": _REPEATS_SQL,
+    "op11_lyndon_grouping": _PASSAGES_SQL,
     "op12_displacement_scatter": _INFILL_SQL,
 }
