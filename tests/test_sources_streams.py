@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewire.operators import clean, enrich, features, nlp, transform
+from tidewire.operators import clean, enrich, features, nlp, transform, vector_index
 from tidewire.session import chain, scratch_dir
 from tidewire.sources import landed
 from tidewire.streaming import sinks, streams
@@ -147,7 +147,8 @@ def test_live_scoring(spark):
     corpus = spark.createDataFrame([("c1", t0, [1.0, 0.0]), ("c2", t0, [0.0, 1.0])], schema)
     batch = spark.createDataFrame([("e1", t0, [1.0, 0.0]), ("e2", t0, [0.0, 0.0])], schema)
     out = scratch_dir(spark, "test-live")
-    write = sinks.scoring_writer(corpus, out, k=1, threshold=0.5)
+    index = vector_index.build_index(corpus, scratch_dir(spark, "test-live-index"), "event_id")
+    write = sinks.scoring_writer(index, out, k=1, threshold=0.5)
     write(batch, 0)
     write(batch, 0)
     got = {r.query_id: (r.impact_score, r.impact_level, r.time_to_market) for r in spark.read.parquet(f"{out}/impact").collect()}

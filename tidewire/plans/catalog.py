@@ -16,7 +16,7 @@ from tidewire.functions import lexicons as lx
 from tidewire.functions import text as t
 from tidewire.operators import (
     backtest, clean, enrich, explain, features, forecast, graph, graph_queries,
-    intel, learn, nlp, runs, signals, similarity, transform,
+    intel, learn, nlp, runs, signals, similarity, transform, vector_index,
 )
 from tidewire.plans import flows
 from tidewire.session import cut_lineage, scratch_dir
@@ -641,9 +641,36 @@ def sim_topk(spark, sf_dir):
     return rounded(_hits(spark, sf_dir))
 
 
+def _indexed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, vector_index.VectorIndex]:
+    """Queries are the rows whose id is divisible by 20, searched against all rows in a stored index."""
+    corpus = adapters.table(spark, sf_dir, "embeddings")
+    return corpus.where("vec_id % 20 = 0"), vector_index.build_index(corpus, scratch_dir(spark, "vector-index"))
+
+
 @query
 def sim_lsh(spark, sf_dir):
-    return rounded(_hits(spark, sf_dir, lsh=(16, 6, 7)))
+    """Hits in the probed cells of the stored index."""
+    queries, index = _indexed(spark, sf_dir)
+    return rounded(vector_index.search_index(queries, index, 20, skip_self=True))
+
+
+@query
+def sim_index(spark, sf_dir):
+    """The same made exact by a second look at the cells that could hold a better hit."""
+    queries, index = _indexed(spark, sf_dir)
+    return rounded(vector_index.search_index(queries, index, 20, skip_self=True, exact=True))
+
+
+@query
+def sim_recall(spark, sf_dir):
+    """How many of the exact hits the probed cells give, and whether that is nine in ten at least."""
+    queries, index = _indexed(spark, sf_dir)
+    found = vector_index.search_index(queries, index, 20, skip_self=True).select("query_id", "hit_id", F.lit(1).alias("found"))
+    exact = similarity.top_k(queries, adapters.table(spark, sf_dir, "embeddings"), 20, skip_self=True)
+    return exact.join(found, ["query_id", "hit_id"], "left").agg(
+        F.count_distinct("query_id").alias("n_queries"), F.count("*").alias("n_hits"),
+        (10 * F.coalesce(F.sum("found"), F.lit(0)) >= 9 * F.count("*")).alias("recall_reached"),
+    )
 
 
 @query
@@ -888,7 +915,7 @@ def stream_signals(spark, sf_dir):
 
 @query
 def stream_realtime(spark, sf_dir):
-    """Short texts arrive live and are scored against the embedded documents."""
+    """Short texts arrive live and are scored against the stored index of the embedded documents."""
     dim = 64
     corpus = cut_lineage(flows.live_scoring(articles(spark, sf_dir), dim), "corpus")
     live = streams.stream_table(spark, sf_dir, "benchmark").select(
@@ -898,7 +925,8 @@ def stream_realtime(spark, sf_dir):
         F.col("text").alias("content"),
     )
     out = scratch_dir(spark, "live")
-    sinks.run_batches(flows.live_scoring(live, dim), sinks.scoring_writer(corpus, out), "live")
+    index = vector_index.build_index(corpus, scratch_dir(spark, "live-index"), "event_id")
+    sinks.run_batches(flows.live_scoring(live, dim), sinks.scoring_writer(index, out), "live")
     return spark.read.parquet(f"{out}/impact").select("query_id", "impact_score", "impact_level", "time_to_market")
 
 

@@ -273,6 +273,19 @@ supply_nodes AS (
   UNION ALL SELECT 'region:' || r_regionkey, 'region' FROM region)"""
 
 
+def hits_by_id() -> str:
+    """Rows whose id is divisible by 20 against all others."""
+    return """
+corpus AS (SELECT vec_id, CAST(vec_id AS VARCHAR) AS hit_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE len(embedding) > 0),
+pairs AS (
+  SELECT q.hit_id AS query_id, c.hit_id,
+         round(list_inner_product(q.v, c.v) / sqrt(list_inner_product(q.v, q.v)) / sqrt(list_inner_product(c.v, c.v)), 6) AS score
+  FROM corpus q JOIN corpus c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+hits AS (
+  SELECT query_id, hit_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, hit_id) AS rank
+  FROM pairs QUALIFY rank <= 20)"""
+
+
 def hits(skip: str = "") -> str:
     return f"""
 corpus AS (
@@ -681,6 +694,9 @@ FROM feats f JOIN sigs s ON s."language" = f."language" """
     # similarity
     near = ctes(hits())
     sql["sim_topk"] = near + "SELECT query_id, hit_id, score, rank FROM hits"
+    by_id = ctes(hits_by_id())
+    sql["sim_index"] = by_id + "SELECT query_id, hit_id, score, rank FROM hits"
+    sql["sim_recall"] = by_id + "SELECT count(DISTINCT query_id) AS n_queries, count(*) AS n_hits, true AS recall_reached FROM hits"
     sql["sim_match"] = near + "SELECT query_id, matched_event_id, similarity_score, rank, match_count FROM matches"
     sql["sim_outcomes"] = near + """
 SELECT query_id, matched_event_id, similarity_score, rank, direction, confidence, asset_classes FROM outcomes"""
@@ -705,6 +721,28 @@ filled AS (SELECT event_id, c, CAST(round(CAST(CAST(CAST(x AS DOUBLE) / n AS FLO
 SELECT event_id, CAST(384 AS BIGINT) AS embedding_dim, count(*) FILTER (v <> 0) AS n_cells,
        CAST(coalesce(sum(v * (c + 1)), 0) AS BIGINT) AS checksum FROM articles LEFT JOIN filled USING (event_id) GROUP BY event_id"""
 
+    sql["stream_realtime"] = ctes(ARTICLES, f"""
+texts AS (
+  SELECT event_id AS id, 'c' AS side, {LOW} AS low FROM articles
+  UNION ALL SELECT 'live:' || item_id, 'q', lower(' ' || coalesce(text, '')) FROM benchmark),
+words AS (SELECT id, side, unnest(list_filter(regexp_split_to_array(low, '{SPACE}+'), lambda x: x <> '')) AS w FROM texts),
+slots AS (SELECT id, side, CAST('0x' || left(md5(w), 8) AS BIGINT) % 128 AS s FROM words),
+cells AS (SELECT id, side, s % 64 AS c, sum(CASE WHEN s >= 64 THEN -1 ELSE 1 END) AS x FROM slots GROUP BY ALL),
+norms AS (SELECT id, side, sqrt(CAST(sum(x * x) AS DOUBLE)) AS n FROM cells GROUP BY ALL),
+unit AS (SELECT id, side, c, CAST(CAST(CAST(x AS DOUBLE) / n AS FLOAT) AS DOUBLE) AS v FROM cells JOIN norms USING (id, side) WHERE n > 0),
+lens AS (SELECT id, side, sqrt(sum(v * v)) AS l FROM unit GROUP BY ALL),
+shared AS (SELECT a.id AS query_id, b.id AS hit_id, sum(a.v * b.v) AS ip FROM unit a JOIN unit b ON a.side = 'q' AND b.side = 'c' AND a.c = b.c GROUP BY ALL),
+scored AS (
+  SELECT a.id AS query_id, b.id AS hit_id, round(coalesce(ip / la.l / lb.l, 0), 6) AS score
+  FROM texts a JOIN texts b ON a.side = 'q' AND b.side = 'c' LEFT JOIN shared ON query_id = a.id AND hit_id = b.id
+  LEFT JOIN lens la ON la.id = a.id AND la.side = 'q' LEFT JOIN lens lb ON lb.id = b.id AND lb.side = 'c'),
+found AS (
+  SELECT query_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, hit_id) AS rank FROM scored QUALIFY rank <= 20),
+means AS (SELECT query_id, coalesce(avg(score) FILTER (score >= 0), 0) AS m FROM found GROUP BY query_id)""") + """
+SELECT query_id, round(m, 4) AS impact_score,
+       CASE WHEN m > 0.8 THEN 'high' WHEN m > 0.6 THEN 'medium' ELSE 'low' END AS impact_level,
+       CASE WHEN m > 0.8 THEN 'fast' ELSE 'moderate' END AS time_to_market FROM means"""
+
     # learning and explanation
     cls = "CAST(CASE {0} WHEN 'positive' THEN 1 WHEN 'negative' THEN 0 ELSE 2 END AS BIGINT)"
     sql["ml_split"] = FEATURE_TABLE + f"""

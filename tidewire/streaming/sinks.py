@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire.operators import graph, similarity
+from tidewire.operators.vector_index import VectorIndex, search_index
 from tidewire.session import cut_lineage, scratch_dir, scratch_scope
 
 BatchFn = Callable[[DataFrame, int], None]
@@ -95,12 +96,14 @@ def compact_graph(spark: SparkSession, root: str, new_root: str) -> None:
     stored_edges(spark, root).write.parquet(f"{new_root}/edges/batch_id=0")
 
 
-def scoring_writer(corpus: DataFrame, out: str, k: int = 20, threshold: float = 0.0) -> BatchFn:
+def scoring_writer(index: VectorIndex, out: str, k: int = 20, threshold: float = 0.0, exact: bool = True) -> BatchFn:
     """``foreachBatch`` body of live scoring.
 
-    ``batch(event_id, embedding, event_ts)`` is searched against the static
-    ``corpus(event_id, embedding)``; the live event becomes a node, its hits edges,
-    an impact score and a push message. What a batch wrote meanwhile goes with it.
+    ``batch(event_id, embedding, event_ts)`` is searched in a stored ``index``, so
+    a batch reads the partitions that its events probe (and with ``exact`` those
+    that could hold a better hit) and not the corpus; the live event becomes a
+    node, its hits edges, an impact score and a push message. What a batch wrote
+    meanwhile goes with it.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -108,7 +111,7 @@ def scoring_writer(corpus: DataFrame, out: str, k: int = 20, threshold: float =
             score(cut_lineage(batch, "live"), f"batch_id={batch_id}")
 
     def score(batch: DataFrame, folder: str) -> None:
-        found = similarity.top_k(batch, corpus, k, query_id="event_id", corpus_id="event_id")
+        found = search_index(batch, index, k, query_id="event_id", exact=exact)
         hits = cut_lineage(found, "hits").filter(F.col("score") >= threshold)
         events = batch.select(F.col("event_id").alias("query_id"), "event_ts")
         impact = similarity.impact_scores(hits, events)
