@@ -76,15 +76,33 @@ def test_bytes_that_differ_leave_no_tokens(spark, aligner):
     assert "▁" in strange  # B's pieces give a blank for it
 
 
-def test_chunks_do_not_show(spark, aligner):
-    """Links of texts taken together are those of each alone."""
+def test_elements_give_what_whole_texts_give(aligner):
+    """Both libraries on whole texts, against the dictionary of elements."""
+    rnd = random.Random(3)
+    letters = list("ab  \n\t.,'sé漢\u00a0\u2003\u3000\x1c\x85▁1🙂\x00")
+    texts = [t or "" for t in odd_texts()] + ["".join(rnd.choice(letters) for _ in range(rnd.randint(0, 30))) for _ in range(3000)]
+    texts += [" ", "  ", "x ", "x  ", "\n ", " \n", "\n  \n x"]
+    whole = alignment.Links(aligner, aligner.encode(texts))
+    assert all("".join(aligner.elements(t)) == " " + t for t in texts)
+    known = alignment.Dictionary(aligner)
+    for texts_at in (slice(0, 1500), slice(1500, None)):
+        got = alignment.Aligned(known, texts[texts_at])
+        k = len(texts[texts_at])
+        assert got.counts.tolist() == whole.counts[texts_at].tolist()
+        assert got.digests == [hashlib.sha256(g).digest() if g else b"" for g in whole.groups[texts_at]]
+        inside = (whole.entry >= (texts_at.start or 0)) & (whole.entry < (texts_at.start or 0) + k)
+        want = Counter(zip((whole.entry[inside] - (texts_at.start or 0)).tolist(), whole.pair[inside].tolist()))
+        assert want == Counter({(t, p): n for t, p, n in zip(got.text.tolist(), got.pair.tolist(), got.times.tolist())})
+
+
+def test_a_dictionary_that_is_dropped_gives_the_same(aligner, monkeypatch):
     texts = [t or "" for t in odd_texts()]
-    tokens = aligner.encode(texts)
-    whole = alignment.Links(aligner, tokens)
-    for i in range(0, len(texts), 7):
-        one = alignment.Links(aligner, tokens[i : i + 1])
-        assert one.counts[0].tolist() == whole.counts[i].tolist() and one.digests[0] == whole.digests[i]
-        assert one.pair.tolist() == whole.pair[whole.text == i].tolist()
+    want = alignment.Aligned(alignment.Dictionary(aligner), texts)
+    monkeypatch.setattr(alignment, "DICTIONARY", 10)
+    known = alignment.Dictionary(aligner)
+    alignment.Aligned(known, texts[:50])
+    got = alignment.Aligned(known, texts)
+    assert (got.counts == want.counts).all() and got.digests == want.digests and (got.pair == want.pair).all()
 
 
 def test_rows_of_any_width_return():

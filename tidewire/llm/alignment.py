@@ -1,7 +1,8 @@
 """Alignment of two tokenizers over a corpus, each distinct text once.
 
 Texts are made distinct by a shuffle on the full text. Each is tokenised twice
-and aligned in a task; a chunk of texts keeps its links as numbers into its own
+and aligned in a task, through elements (words with the blank before them) that no
+token of either side crosses and that are kept in a dictionary; a chunk of texts keeps its links as numbers into its own
 sorted list of id pairs, and sends per pair how many documents of the chunk hold
 it linked. Groups of A ids add these up and send the corpus counts back to the
 chunks that asked, in the order of their lists. Measures of a text then come
@@ -12,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from collections.abc import Iterator
 from itertools import chain
 
@@ -22,13 +24,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.llm.kernels import slices, texts_of
+from tidewire.llm.tables import joined_by_text
 from tidewire.session import cut_lineage
 
 CHUNK = 8 << 20  # bytes of distinct texts that share one list of pairs
-SLICE = 1 << 19  # bytes of text tokenised at a time
+SLICE = 1 << 20  # bytes of text tokenised at a time
 GROUP = 1 << 25  # bytes of text for each group of A ids
-HOT = 1000  # a text held by over one document in so many is joined by broadcast; there are fewer than HOT such texts
+DICTIONARY = 8 << 20  # characters of elements that a task remembers
 _ID_BITS = 20
+# A blank, white space and a word, with what other white space joins to it; one blank at the end of a text stays with its last word.
+_ELEMENT = re.compile(r" \s*\S*(?:[^\S ]\s*\S*)*(?: \Z)?")
 _MEASURES = ("n_a", "n_b", "n_groups", "n_links")
 
 
@@ -63,10 +68,12 @@ class Aligner:
         self.length_a, self.length_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
         self.names = [[np.array([b"%d%s" % (i, end) for i in range(len(t))], object) for end in ends]
                       for t, ends in ((self.bytes_a, (b",", b"|")), (self.bytes_b, (b",", b";")))]
+        # Merges cannot reach over a blank after another character if no piece has one inside.
+        self.divides = not any("▁" in self.b.id_to_piece(i).lstrip("▁") for i in range(self.b.vocab_size()))
 
     def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
         """(A ids, B ids) of each text; both empty for an empty text and where the tokens are not the text's bytes."""
-        ids_a = [e.ids for e in self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+        ids_a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
         ids_b = self.b.encode(texts, num_threads=1)
         out, of_a, of_b = [], self.bytes_a.__getitem__, self.bytes_b.__getitem__
         for text, a, b in zip(texts, ids_a, ids_b):
@@ -75,29 +82,37 @@ class Aligner:
             out.append((a, b) if same else ([], []))
         return out
 
+    def elements(self, text: str) -> list[str]:
+        """A blank and the text, cut where neither tokenizer has a token across: at blanks that follow no white space.
+
+        A's pattern never joins white space to what stands before it, and B's
+        merges stop there too. So the tokens of a text are those of its elements.
+        """
+        return _ELEMENT.findall(" " + text) if self.divides else [" " + text]
+
 
 class Links:
-    """Links of a list of texts: per text the counts of ``_MEASURES`` and a digest of its groups; all links as (text, pair)."""
+    """Links of a list of token pairs: per entry the counts of ``_MEASURES`` and its groups as text; all links as (entry, pair)."""
 
     def __init__(self, aligner: Aligner, tokens: list[tuple[list[int], list[int]]]):
         k = len(tokens)
         n_a, n_b = (np.fromiter((len(t[s]) for t in tokens), np.int64, k) for s in (0, 1))
         a, b = (np.fromiter(chain.from_iterable(t[s] for t in tokens), np.int64, int(n.sum())) for s, n in ((0, n_a), (1, n_b)))
-        # Both cover the same bytes of the texts laid end to end, so ends compare across the texts.
+        # Both cover the same bytes of the entries laid end to end, so ends compare across the entries.
         ends_a, ends_b = np.cumsum(aligner.length_a[a]), np.cumsum(aligner.length_b[b])
-        text_of_a, text_of_b = np.repeat(np.arange(k), n_a), np.repeat(np.arange(k), n_b)
+        entry_of_a = np.repeat(np.arange(k), n_a)
         shared = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        n_groups = np.bincount(text_of_a[np.searchsorted(ends_a, shared)], minlength=k)
+        n_groups = np.bincount(entry_of_a[np.searchsorted(ends_a, shared)], minlength=k)
         # Between two neighbouring ends of either side lies one overlap of one A and one B token.
         cuts = np.union1d(ends_a, ends_b)
         at_a, at_b = np.searchsorted(ends_a, cuts), np.searchsorted(ends_b, cuts)
-        self.text = text_of_a[at_a]
+        self.entry = entry_of_a[at_a]
         self.pair = a[at_a] << _ID_BITS | b[at_b]
-        self.counts = np.stack([n_a, n_b, n_groups, np.bincount(self.text, minlength=k)], 1)
-        self.digests = self._digests(aligner, a, b, ends_a, ends_b, shared, n_a + n_b)
+        self.counts = np.stack([n_a, n_b, n_groups, np.bincount(self.entry, minlength=k)], 1)
+        self.groups = self._groups(aligner, a, b, ends_a, ends_b, shared, n_a + n_b)
 
     @staticmethod
-    def _digests(aligner, a, b, ends_a, ends_b, shared, sizes) -> list[bytes]:
+    def _groups(aligner, a, b, ends_a, ends_b, shared, sizes) -> list[bytes]:
         group_a, group_b = np.searchsorted(shared, ends_a), np.searchsorted(shared, ends_b)
         last_a, last_b = np.searchsorted(ends_a, shared), np.searchsorted(ends_b, shared)
         (comma_a, bar), (comma_b, semicolon) = aligner.names
@@ -108,11 +123,74 @@ class Links:
         laid[np.arange(len(b)) + (last_a + 1)[group_b]] = names_b
         laid, out, at = laid.tolist(), [], 0
         for n in sizes.tolist():
-            out.append(hashlib.sha256(b"".join(laid[at : at + n])[:-1]).digest() if n else b"")
+            out.append(b"".join(laid[at : at + n])[:-1])
             at += n
         return out
 
 
+class Dictionary:
+    """Elements that a task has met, each tokenised and aligned once, numbered as they come."""
+
+    def __init__(self, aligner: Aligner):
+        self.aligner = aligner
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict[str, int] = {}
+        self.held = 0
+        self.groups: list[bytes] = []
+        self.counts = np.empty((0, len(_MEASURES)), np.int64)
+        self.begin = np.zeros(1, np.int64)  # links of element e are pair[begin[e]:begin[e + 1]]
+        self.pair = np.empty(0, np.int64)
+
+    def learn(self, elements: set[str]) -> None:
+        """Adds what is missing; the whole is dropped first when it has outgrown ``DICTIONARY`` characters."""
+        if self.held > DICTIONARY:
+            self.clear()
+        new = [e for e in elements if e not in self.number]
+        if not new:
+            return
+        links = Links(self.aligner, self.aligner.encode([e[1:] for e in new]))
+        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
+        self.held += sum(map(len, new))
+        self.groups += links.groups
+        self.counts = np.concatenate([self.counts, links.counts])
+        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(links.counts[:, 3])])
+        self.pair = np.concatenate([self.pair, links.pair])
+
+
+class Aligned:
+    """Texts by their elements: per text the counts of ``_MEASURES``, a digest of the groups, and (text, pair, times) of its links."""
+
+    def __init__(self, known: Dictionary, texts: list[str]):
+        elements = [known.aligner.elements(t) if t else [] for t in texts]
+        known.learn(set(chain.from_iterable(elements)))
+        k = len(texts)
+        sizes = np.fromiter(map(len, elements), np.int64, k)
+        ids = np.fromiter(map(known.number.__getitem__, chain.from_iterable(elements)), np.int64, int(sizes.sum()))
+        text = np.repeat(np.arange(k), sizes)
+        whole = np.ones(k, bool)  # an element whose tokens are not its bytes takes the tokens from all of its text
+        whole[text[known.counts[ids, 0] == 0]] = False
+        groups, self.digests, at = known.groups, [], 0
+        for n, good in zip(sizes.tolist(), whole.tolist()):
+            joined = b";".join([groups[i] for i in ids[at : at + n].tolist()]) if good and n else b""
+            self.digests.append(hashlib.sha256(joined).digest() if joined else b"")
+            at += n
+        ids, text = ids[whole[text]], text[whole[text]]
+        self.counts = np.stack([np.bincount(text, known.counts[ids, c], k) for c in range(len(_MEASURES))], 1).astype(np.int64)
+        # Each element once per text, then its links, then each pair once per text.
+        both, times = np.unique(text << 32 | ids, return_counts=True)
+        text, ids = both >> 32, both & 0xFFFFFFFF
+        n = known.counts[ids, 3]
+        place = np.arange(int(n.sum())) + np.repeat(known.begin[ids] - (np.cumsum(n) - n), n)
+        pair, text, times = known.pair[place], np.repeat(text, n), np.repeat(times, n)
+        order = np.lexsort((pair, text))
+        pair, text, times = pair[order], text[order], times[order]
+        at = np.flatnonzero(np.append(True, (pair[1:] != pair[:-1]) | (text[1:] != text[:-1]))) if len(pair) else np.empty(0, np.int64)
+        self.text, self.pair = text[at], pair[at]
+        self.times = np.add.reduceat(times, at) if len(at) else times
+
+
 def _narrow(values: np.ndarray) -> np.ndarray:
     """The same whole numbers (0 or more) in the least unsigned type that holds them."""
     return values.astype(np.min_scalar_type(int(values.max()) if len(values) else 0))
@@ -139,19 +217,13 @@ class _Chunk:
         self.digests, self.copies, self.counts, self.groups, self.keys, self.times = [], [], [], [], [], []
         self.texts = self.size = 0
 
-    def add(self, digests: list[bytes], copies: np.ndarray, links: Links, size: int) -> None:
-        # One number per text and pair; how often it is linked there.
-        order = np.lexsort((links.pair, links.text))
-        text, pair = links.text[order], links.pair[order]
-        new = np.ones(len(pair), bool)
-        new[1:] = (pair[1:] != pair[:-1]) | (text[1:] != text[:-1])
-        at = np.flatnonzero(new)
-        self.keys.append((text[at] + self.texts, pair[at]))
-        self.times.append(np.diff(np.append(at, len(pair))))
+    def add(self, digests: list[bytes], copies: np.ndarray, aligned: Aligned, size: int) -> None:
+        self.keys.append((aligned.text + self.texts, aligned.pair))
+        self.times.append(aligned.times)
         self.digests += digests
         self.copies.append(copies)
-        self.counts.append(links.counts)
-        self.groups += links.digests
+        self.counts.append(aligned.counts)
+        self.groups += aligned.digests
         self.texts += len(digests)
         self.size += size
 
@@ -182,7 +254,7 @@ def _chunks(texts: DataFrame, shipped, groups: int) -> DataFrame:
     """(chunk, grp, blobs) of distinct texts (text, digest, copies)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner(*shipped.value)
+        known = Dictionary(Aligner(*shipped.value))
         base, done, held = TaskContext.get().partitionId() << 32, 0, _Chunk()
 
         def closed() -> pa.RecordBatch:
@@ -193,8 +265,8 @@ def _chunks(texts: DataFrame, shipped, groups: int) -> DataFrame:
         for batch in batches:
             for part in slices(batch, 0, SLICE):
                 data = texts_of(part.column(0))
-                links = Links(aligner, aligner.encode([x.decode() for x in data]))
-                held.add(part.column(1).to_pylist(), part.column(2).to_numpy(), links, sum(map(len, data)))
+                aligned = Aligned(known, [x.decode() for x in data])
+                held.add(part.column(1).to_pylist(), part.column(2).to_numpy(), aligned, sum(map(len, data)))
                 if held.size >= CHUNK:
                     yield closed()
                     done, held = done + 1, _Chunk()
@@ -282,9 +354,5 @@ def align_tokenizers(docs: DataFrame, byte_level: str, piece_model: str, id_col:
     chunks = cut_lineage(_chunks(distinct, shipped, groups), "aligned")
     counts = _counts(chunks.where("grp >= 0"))
     measures = cut_lineage(_measured(chunks.where("grp < 0"), counts), "measures")
-    rows = measures.agg(F.sum("copies")).first()[0] or 0
     keyed = docs.select(F.col(id_col).alias("doc_id"), digest)
-    hot, cold = measures.where(F.col("copies") * HOT > rows), measures.where(F.col("copies") * HOT <= rows)
-    few = F.broadcast(hot)
-    found = keyed.join(few, "digest").unionByName(keyed.join(few.select("digest"), "digest", "left_anti").join(cold, "digest"))
-    return found.select("doc_id", *_MEASURES, "n_best", "count_sum", "groups_sha256")
+    return joined_by_text(keyed, measures).select("doc_id", *_MEASURES, "n_best", "count_sum", "groups_sha256")
