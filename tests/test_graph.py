@@ -1,3 +1,4 @@
+import random
 from collections import deque
 
 from tidewire.operators import enrich, graph, graph_queries, nlp
@@ -95,6 +96,69 @@ def test_causal_paths(spark):
     assert [r.path for r in two] == want[:3]
 
 
+def counted(monkeypatch):
+    """(label, rows) of every table that a search writes."""
+    written, plain = [], graph_queries.cut_lineage
+
+    def note(df, label):
+        out = plain(df, label)
+        written.append((label, out.count()))
+        return out
+
+    monkeypatch.setattr(graph_queries, "cut_lineage", note)
+    return written
+
+
+def test_shortest_path_meets_half_way(spark, monkeypatch):
+    chain = spark.createDataFrame([(f"n{i:03d}", f"n{i + 1:03d}") for i in range(21)], "source string, target string")
+    written = counted(monkeypatch)
+    for goal in (20, 21):
+        written.clear()
+        assert graph_queries.shortest_path(chain, "n000", f"n{goal:03d}").first().length == goal
+        assert sum(label == "layers" for label, _ in written) == (goal + 1) // 2
+
+
+def test_shortest_path_on_random_graphs(spark):
+    rnd = random.Random(6)
+    for n, m in ((12, 20), (9, 40), (30, 60)):
+        pairs = sorted({(f"v{rnd.randrange(n):02d}", f"v{rnd.randrange(n):02d}") for _ in range(m)})
+        edges = make_edges(spark, *pairs, ("v00", "v00"))
+        for goal in ("v01", "v05", "v08"):
+            want = next(iter(brute_paths([p for p in pairs if p[0] != p[1]], "v00", goal, 12 if n < 20 else 6)), None)
+            row = graph_queries.shortest_path(edges, "v00", goal).first()
+            if row is not None and (want or row.path):
+                assert row.path == want
+
+
+def test_a_hub_on_one_side_waits(spark, monkeypatch):
+    pairs = [("s", f"leaf{i}") for i in range(40)] + [(f"leaf{i}", f"far{i}") for i in range(40)] + [("s", "p"), ("p", "q"), ("q", "t")]
+    written = counted(monkeypatch)
+    row = graph_queries.shortest_path(make_edges(spark, *pairs), "s", "t").first()
+    assert row.path == ["s", "p", "q", "t"]
+    assert all(rows <= 42 for label, rows in written if label == "layers")
+
+
+def test_first_paths_of_dense_graphs(spark, monkeypatch):
+    rnd = random.Random(2)
+    written = counted(monkeypatch)
+    for n, density in ((7, 1.0), (9, 0.5)):
+        names = [f"v{i}" for i in range(n)]
+        pairs = [(a, b) for a in names for b in names if a != b and rnd.random() < density]
+        for k, limit in ((5, 5), (12, 3)):
+            written.clear()
+            got = graph_queries.causal_paths(make_edges(spark, *pairs), "v1", sources=["v0", "v2"], max_paths=k, max_edges=limit).collect()
+            want = sorted((p for s in ("v0", "v2") for p in brute_paths(pairs, s, "v1", limit)), key=lambda p: (len(p), p))
+            assert [r.path for r in got] == want[:k]
+            # A round keeps a label per branch and node, and no round has more than ``limit`` branches (or two sources).
+            assert all(rows <= limit * n for label, rows in written if label == "labels")
+
+
+def test_first_paths_that_do_not_exist(spark):
+    edges = make_edges(spark, ("a", "b"), ("b", "a"), ("c", "d"))
+    assert graph_queries.causal_paths(edges, "d", sources=["a"]).collect() == []
+    assert [r.path for r in graph_queries.causal_paths(edges, "b", sources=["a", "b"], max_paths=9).collect()] == [["a", "b"]]
+
+
 def test_neighbors_subgraph_impact(spark):
     edges = make_edges(spark, *PATHS).unionByName(make_edges(spark, ("a", "z"), weight=2.0))
     assert {(r.neighbor, r["count"]) for r in graph_queries.neighbors(edges, "a").collect()} == {

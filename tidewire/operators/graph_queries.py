@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import heapq
 import itertools
 from collections.abc import Iterable
 
@@ -11,6 +13,8 @@ from pyspark.sql import functions as F
 from tidewire.session import cut_lineage, scratch_scope
 
 SEEN_ROUNDS = 8  # rounds of a breadth-first search between rewrites of the nodes seen
+WAIT_AT = 4  # a side of a two-sided search waits while it has over so many times the other's nodes
+
 
 def neighbors(edges: DataFrame, node: str) -> DataFrame:
     """Successors of a node, each with the number of successors."""
@@ -59,12 +63,14 @@ def impact(edges: DataFrame, event: str | None = None, top: int = 20) -> DataFra
 def shortest_path(edges: DataFrame, source: str, target: str) -> DataFrame:
     """Unweighted directed path as one row ``(path, length)``; ``path`` is null if unreachable.
 
-    Breadth first, until the target is reached or no new node is: each round joins
-    the frontier with the edges, keeps the lexicographically least path per new
-    node and drops nodes seen before. Rounds are written to the shared folder, the
-    nodes seen are written anew every few rounds, so neither plan nor reads grow
-    with the depth. Only the emptiness of the frontier and the arrival at the
-    target come back to the driver.
+    Breadth first from both ends until the frontiers meet, so neither grows
+    further than half the way; a side much larger than the other waits. Each new
+    node carries its lexicographically least path to its own end. When the sides
+    have grown to depths ``a`` and ``b`` without meeting, every path is longer than
+    ``a + b``, so a first meeting lies on both outermost layers, and the least of
+    the joined paths there is the least of all shortest ones. Rounds are written to
+    the shared folder, the nodes seen anew every few rounds, so neither plan nor
+    reads grow with the depth. Only frontier sizes and the meeting come back.
     """
     with scratch_scope(edges.sparkSession):
         return _shortest_path(edges, source, target)
@@ -72,7 +78,10 @@ def shortest_path(edges: DataFrame, source: str, target: str) -> DataFrame:
 
 def _shortest_path(edges: DataFrame, source: str, target: str) -> DataFrame:
     spark = edges.sparkSession
-    links = cut_lineage(edges.select("source", "target").where("source <> target").distinct(), "links")
+    plain = edges.select("source", "target").where("source <> target").distinct()
+    ahead = plain.select(F.lit("ahead").alias("side"), F.col("source").alias("node"), F.col("target").alias("next"))
+    back = plain.select(F.lit("back").alias("side"), F.col("target").alias("node"), F.col("source").alias("next"))
+    links = cut_lineage(ahead.unionByName(back), "links")
     ends = edges.select(F.explode(F.array("source", "target")).alias("id"))
     both_known = (
         ends.filter(F.col("id").isin(source, target))
@@ -84,27 +93,41 @@ def _shortest_path(edges: DataFrame, source: str, target: str) -> DataFrame:
         return spark.createDataFrame([], answer)
     if source == target:
         return spark.createDataFrame([([source], 0)], answer)
-    frontier = spark.createDataFrame([(source, [source])], "node string, path array<string>")
-    seen = frontier.select("node")
+    start = spark.createDataFrame([("ahead", source, [source]), ("back", target, [target])], "side string, node string, path array<string>")
+    layers = {side: start.where(F.col("side") == side) for side in ("ahead", "back")}
+    sizes = {"ahead": 1, "back": 1}
+    seen = start.select("side", "node")
     for hop in itertools.count(1):
+        growing = [side for side, n in sizes.items() if n <= WAIT_AT * min(sizes.values())]
+        frontier = functools.reduce(DataFrame.unionByName, (layers[side] for side in growing))
+        step = F.when(F.col("side") == "ahead", F.concat("path", F.array("next"))).otherwise(F.concat(F.array("next"), "path"))
         reached = (
-            links.join(frontier, links["source"] == frontier["node"])
-            .select(F.col("target").alias("node"), F.concat("path", F.array("target")).alias("path"))
-            .groupBy("node")
+            links.join(frontier, ["side", "node"])
+            .select("side", F.col("next").alias("node"), step.alias("path"))
+            .groupBy("side", "node")
             .agg(F.min("path").alias("path"))
-            .join(seen, "node", "left_anti")
+            .join(seen, ["side", "node"], "left_anti")
         )
-        frontier = cut_lineage(reached, "bfs")
-        arrived = frontier.filter(F.col("node") == target).select("path").take(1)
-        if arrived:
-            path = list(arrived[0]["path"])
-            return spark.createDataFrame([(path, len(path) - 1)], answer)
-        if frontier.isEmpty():
-            break
-        seen = seen.unionByName(frontier.select("node"))
+        grown = cut_lineage(reached, "layers")
+        found = {r["side"]: r["n"] for r in grown.groupBy("side").agg(F.count("*").alias("n")).collect()}
+        before = dict(layers)
+        for side in growing:
+            layers[side], sizes[side] = grown.where(F.col("side") == side), found.get(side, 0)
+        # The layer that grew first meets the other side as it was; if both grew, their new layers meet one hop later.
+        first = {"ahead": layers["ahead"], "back": before["back"]} if "ahead" in growing else layers
+        for pair in [first] + [layers] * (len(growing) == 2):
+            met = (
+                pair["ahead"].select("node", F.col("path").alias("head"))
+                .join(pair["back"].select("node", F.expr("slice(path, 2, size(path))").alias("tail")), "node")
+                .agg(F.min(F.concat("head", "tail")).alias("path")).first()["path"]
+            )
+            if met:
+                return spark.createDataFrame([(list(met), len(met) - 1)], answer)
+        if not min(sizes.values()):
+            return spark.createDataFrame([(None, None)], answer)
+        seen = seen.unionByName(grown.select("side", "node"))
         if hop % SEEN_ROUNDS == 0:
             seen = cut_lineage(seen, "seen")
-    return spark.createDataFrame([(None, None)], answer)
 
 
 def first_sources(edges: DataFrame, nodes: DataFrame | None = None, n: int = 3) -> DataFrame:
@@ -161,11 +184,20 @@ def causal_paths(
     max_paths: int = 5,
     max_sources: int = 3,
 ) -> DataFrame:
-    """Simple paths of at most ``max_edges`` edges to ``target``, shortest first.
+    """The first simple paths of at most ``max_edges`` edges to ``target``: ``(path, length, edges)``, by length and then path.
+
+    Without a target the ``default_target`` is taken. The graph is first cut down
+    to the edges the sources can reach. Backwards from the target, each node gets
+    the number of hops it still needs; paths are only grown into nodes that can
+    arrive in the hops that are left.
 
-    Without a target the ``default_target`` is taken. The graph is first cut down to the edges the sources can reach. Backwards
-    from the target, each node gets the number of hops it still needs; paths are
-    only grown into nodes that can arrive in the hops that are left.
+    Paths are found one after the other, each as the best of some branches. A
+    branch is the set of paths that begin in a given way and do not go on to
+    certain nodes; its best path comes from a breadth-first search that keeps one
+    label, the least path, per node. Taking a path divides its branch along the
+    path into at most ``max_edges`` new ones, searched together. So a round writes
+    at most a label per branch and node, however many paths the graph has.
+    Of parallel edges the one of least relation and weight is shown.
     """
     spark = edges.sparkSession
     target = default_target(edges) if target is None else target
@@ -175,7 +207,7 @@ def causal_paths(
         starts = sources.select("node").orderBy("node").limit(max_sources)
     else:
         starts = spark.createDataFrame([(s,) for s in list(sources)[:max_sources]], "node string")
-    starts = cut_lineage(starts, "starts")
+    starts = cut_lineage(starts.distinct(), "starts")
     links = reachable_edges(edges.select("source", "target", "relation", "weight"), starts, max_edges)
 
     # Hops still needed from each node: a backward search over new nodes only.
@@ -187,37 +219,69 @@ def causal_paths(
         if frontier.isEmpty():
             break
         to_go = to_go.unionByName(frontier)
+    useful = links.join(to_go.withColumnRenamed("node", "target"), "target").where("source <> target")
+    useful = cut_lineage(useful.select("source", "target", "need").distinct(), "useful")
 
-    step = F.struct("source", "target", "relation", "weight")
-    partial = starts.filter(F.col("node") != target).select(
-        "node",
-        F.array("node").alias("path"),
-        F.array().cast("array<struct<source:string,target:string,relation:string,weight:double>>").alias("edges"),
-    )
-    found = None
-    for hop in range(1, max_edges + 1):
-        near = to_go.filter(F.col("need") <= max_edges - hop).select(F.col("node").alias("target"))
-        useful = links.join(near, "target", "left_semi")
-        grown = (
-            useful.join(partial, useful["source"] == partial["node"])
-            .filter(~F.array_contains("path", F.col("target")))
-            .select(
-                F.col("target").alias("node"),
-                F.concat("path", F.array("target")).alias("path"),
-                F.concat("edges", F.array(step)).alias("edges"),
-            )
-        )
-        grown = cut_lineage(grown, f"paths{hop}")
-        done = grown.filter(F.col("node") == target)
-        found = done if found is None else found.unionByName(done)
-        # Later rounds only find longer paths, so enough of them is enough.
-        if found.limit(max_paths).count() == max_paths:
-            break
-        partial = grown.filter(F.col("node") != target)
-        if partial.isEmpty():
+    # Branches: (first nodes of the path, nodes not to go on to). The driver holds these few, never paths at large.
+    branches = [([r["node"]], []) for r in starts.collect() if r["node"] != target]
+    best: list[tuple[int, list[str]]] = []  # the best path of each open branch
+    taken: list[list[str]] = []
+    open_to: dict[tuple[str, ...], tuple[int, list[str]]] = {}  # how many first nodes its branch fixes, and what it excludes
+    while len(taken) < max_paths:
+        for branch, path in _best_of(useful, branches, target, max_edges).items():
+            open_to[tuple(path)] = (len(branches[branch][0]), branches[branch][1])
+            heapq.heappush(best, (len(path), path))
+        if not best:
             break
+        _, path = heapq.heappop(best)
+        taken.append(path)
+        fixed, excluded = open_to.pop(tuple(path))
+        # Every other path of the branch leaves this one after its i-th node.
+        branches = [(path[:i], [path[i], *(excluded if i == fixed else [])]) for i in range(fixed, len(path))]
+    shown = spark.createDataFrame([(i, p) for i, p in enumerate(taken)], "place int, path array<string>")
+    steps = shown.select("place", "path", F.posexplode(F.arrays_zip(F.expr("slice(path, 1, size(path) - 1)").alias("s"), F.expr("slice(path, 2, size(path))").alias("t"))).alias("pos", "e"))
+    single = links.groupBy("source", "target").agg(F.min(F.struct("relation", "weight")).alias("with"))
+    with_edges = (
+        single.join(F.broadcast(steps.select("place", "path", "pos", F.col("e.s").alias("source"), F.col("e.t").alias("target"))), ["source", "target"])
+        .groupBy("place", "path")
+        .agg(F.array_sort(F.collect_list(F.struct("pos", F.struct("source", "target", "with.relation", "with.weight").alias("edge")))).alias("all"))
+    )
     return (
-        found.select("path", (F.size("path") - 1).alias("length"), "edges")
+        with_edges.select("path", (F.size("path") - 1).alias("length"), F.transform("all", lambda s: s["edge"]).alias("edges"))
         .orderBy("length", "path")
-        .limit(max_paths)
     )
+
+
+def _best_of(useful: DataFrame, branches: list[tuple[list[str], list[str]]], target: str, max_edges: int) -> dict[int, list[str]]:
+    """The best path of each branch that has one, by number of the branch.
+
+    All branches are searched together, hop by hop; each node of each branch keeps
+    the least path to it, and a branch ends when its path has arrived.
+    """
+    spark = useful.sparkSession
+    found: dict[int, list[str]] = {}
+    if not branches:
+        return found
+    rows = [(i, head[-1], head, head, excluded) for i, (head, excluded) in enumerate(branches)]
+    frontier = spark.createDataFrame(rows, "branch int, node string, path array<string>, head array<string>, excluded array<string>")
+    heads = F.broadcast(frontier.select("branch", "head"))
+    seen = None
+    for _ in range(max_edges):
+        grown = (
+            useful.join(frontier, useful["source"] == frontier["node"])
+            .where(F.size("path") + F.col("need") <= max_edges)
+            .where(~F.array_contains("head", F.col("target")) & ~F.array_contains("excluded", F.col("target")))
+            .groupBy("branch", F.col("target").alias("node"))
+            .agg(F.min(F.concat("path", F.array("target"))).alias("path"))
+        )
+        if seen is not None:
+            grown = grown.join(seen, ["branch", "node"], "left_anti")
+        grown = cut_lineage(grown, "labels")
+        found |= {r["branch"]: list(r["path"]) for r in grown.where(F.col("node") == target).select("branch", "path").collect()}
+        ends = list(found)
+        rest = grown.where(~F.col("branch").isin(ends)) if ends else grown
+        if len(found) == len(branches) or rest.isEmpty():
+            break
+        seen = grown.select("branch", "node") if seen is None else seen.unionByName(grown.select("branch", "node"))
+        frontier = rest.join(heads, "branch").withColumn("excluded", F.array().cast("array<string>"))
+    return found
