@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewire.functions import text as t
+from tidewire.operators.seen import SeenStore
 from tidewire.session import chain
 
 ARRIVAL_ORDER = ("event_ts", "event_id")
@@ -30,21 +31,38 @@ def keep_first(df: DataFrame, key: str, order: tuple[str, ...] = ARRIVAL_ORDER)
     )
 
 
+def _named(df: DataFrame, order: tuple[str, ...]) -> DataFrame:
+    """Rows with their ``dedup_key`` and a ``_row`` that only rows of one key and equal order share."""
+    keyed = df.withColumn("dedup_key", dedup_key())
+    return keyed.withColumn("_row", F.md5(F.to_json(F.struct("dedup_key", *order), {"ignoreNullFields": "false"})))
+
+
+def _winners(named: DataFrame, order: tuple[str, ...]) -> DataFrame:
+    """(dedup_key, _row) of the first row of each key; a narrow aggregate, combined map-side."""
+    first = named.groupBy("dedup_key").agg(F.min(F.struct(*order, "_row")).alias("_first"))
+    return first.select("dedup_key", "_first._row")
+
+
+def _picked(named: DataFrame, winners: DataFrame) -> DataFrame:
+    """The rows that ``winners`` name, one of each.
+
+    Rows move once, dealt by their name, which spreads a hot key; where one was
+    delivered twice its copies lie together then and are numbered in place.
+    """
+    found = named.join(winners.select("_row"), "_row", "left_semi")
+    ranked = found.withColumn("_n", F.row_number().over(Window.partitionBy("_row").orderBy("_row")))
+    return ranked.where("_n = 1").drop("_n", "_row")
+
+
 def dedup(df: DataFrame, order: tuple[str, ...] = ARRIVAL_ORDER) -> DataFrame:
     """Keep the first article per md5(title ++ url); the key stays as ``dedup_key``.
 
-    The first copies are found on key and order alone and picked by a semi join,
-    and only the columns that are read later move. Of rows that ``order`` does not
-    tell apart, such as one article delivered twice, one is kept; they lie together
-    after the join.
+    Of rows that ``order`` does not tell apart, such as one article delivered
+    twice, one is kept. The first copies are found on key and order alone, and only
+    the columns that are read later move, in one shuffle at most.
     """
-    keyed = df.withColumn("dedup_key", dedup_key())
-    winners = keyed.groupBy("dedup_key").agg(F.min(F.struct(*order)).alias("_first"))
-    winners = winners.select(F.col("dedup_key").alias("_k"), *[F.col(f"_first.{c}").alias(f"_{c}") for c in order])
-    same = keyed["dedup_key"] == winners["_k"]
-    for c in order:
-        same = same & keyed[c].eqNullSafe(winners[f"_{c}"])
-    return keyed.join(winners, same, "left_semi").dropDuplicates(["dedup_key", *order])
+    named = _named(df, order)
+    return _picked(named, _winners(named, order))
 
 
 def dedup_counts(df: DataFrame, *group: str) -> DataFrame:
@@ -61,10 +79,19 @@ def dedup_counts(df: DataFrame, *group: str) -> DataFrame:
 def dedup_against_history(df: DataFrame, seen_keys: DataFrame) -> DataFrame:
     """Deduplicate a batch and drop what earlier runs have seen.
 
-    The batch is deduplicated before the anti join, so a hot key is one row of it;
-    the history needs no distinct, as an anti join only asks whether a key is there.
+    The batch's first copies meet the history as names, before any text moves; a
+    hot key is one of them, and the history needs no distinct, as an anti join only
+    asks whether a key is there.
     """
-    return dedup(df).join(seen_keys.select("dedup_key"), "dedup_key", "left_anti")
+    named = _named(df, ARRIVAL_ORDER)
+    fresh = _winners(named, ARRIVAL_ORDER).join(seen_keys.select("dedup_key"), "dedup_key", "left_anti")
+    return _picked(named, fresh)
+
+
+def dedup_against_store(df: DataFrame, store: SeenStore) -> DataFrame:
+    """The same against a stored history, whose sketch spares reading most of it."""
+    named = _named(df, ARRIVAL_ORDER)
+    return _picked(named, store.unseen(_winners(named, ARRIVAL_ORDER)))
 
 
 def append_seen(new_rows: DataFrame, path: str) -> None:

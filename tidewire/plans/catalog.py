@@ -6,6 +6,7 @@ Each entry takes ``(spark, sf_dir)``. Results are flat: arrays are joined with
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +17,7 @@ from tidewire.functions import lexicons as lx
 from tidewire.functions import text as t
 from tidewire.operators import (
     backtest, clean, enrich, explain, features, forecast, graph, graph_queries,
-    intel, learn, nlp, runs, signals, similarity, transform, vector_index,
+    intel, learn, nlp, runs, seen, signals, similarity, transform, vector_index,
 )
 from tidewire.plans import flows
 from tidewire.session import cut_lineage, scratch_dir
@@ -214,6 +215,19 @@ def clean_dedup_history(spark, sf_dir):
     return fresh.select("dedup_key", "event_id", "title")
 
 
+@query
+def clean_dedup_store(spark, sf_dir):
+    """The same with a stored history and its sketch, appended run by run: a week at a time is a batch."""
+    rows = articles(spark, sf_dir).withColumn("week", F.floor((F.dayofmonth("event_ts") - 1) / 7).cast("int"))
+    history = seen.SeenStore(spark, scratch_dir(spark, "seen-store"), blocks=256, parts=64)
+    kept = []
+    for week in range(5):
+        fresh = cut_lineage(clean.dedup_against_store(rows.where(F.col("week") == week).drop("week"), history), "fresh")
+        history.append(fresh, f"week{week}")
+        kept.append(fresh)
+    return functools.reduce(DataFrame.unionByName, kept).select("dedup_key", "event_id", "title")
+
+
 @query
 def clean_normalize(spark, sf_dir):
     return rounded(

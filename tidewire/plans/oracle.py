@@ -499,6 +499,7 @@ SELECT dedup_key, event_id, title FROM articles
 WHERE event_ts >= TIMESTAMP '2024-01-16'
   AND dedup_key NOT IN (SELECT dedup_key FROM articles WHERE event_ts < TIMESTAMP '2024-01-16')
 QUALIFY row_number() OVER (PARTITION BY dedup_key ORDER BY event_ts, event_id) = 1"""
+    sql["clean_dedup_store"] = art + "SELECT dedup_key, event_id, title FROM firsts"
     normal = f"""
 normal AS (
   SELECT event_id, dedup_key, {strip("coalesce(title, '')")} AS title,
