@@ -17,7 +17,7 @@ from tidewire.functions import lexicons as lx
 from tidewire.functions import text as t
 from tidewire.operators import (
     backtest, clean, enrich, explain, features, forecast, graph, graph_queries,
-    intel, learn, nlp, runs, seen, signals, similarity, transform, vector_index,
+    intel, learn, nlp, runs, seen, signals, similarity, terms, transform, vector_index,
 )
 from tidewire.plans import flows
 from tidewire.session import cut_lineage, scratch_dir
@@ -422,6 +422,22 @@ def news_credibility(spark, sf_dir):
     return intel.weigh_sources(renamed).select("event_id", "source_name", "source_credibility", "source_weight")
 
 
+@query
+def terms_economic(spark, sf_dir):
+    """The indicator keywords once more, found by anchors and a join."""
+    found = terms.terms_by_label(terms.find_terms(articles(spark, sf_dir), lx.ECONOMIC_INDICATORS))
+    return found.select("event_id", F.col("label").alias("indicator"), flat("matched").alias("matched"), F.col("count").cast("long").alias("matches"))
+
+
+@query
+def terms_benchmark(spark, sf_dir):
+    """A long list: the 10,000 most frequent longer words of the benchmark, and how many articles hold each."""
+    words = adapters.table(spark, sf_dir, "benchmark").select(F.explode(F.split(F.lower("text"), " ")).alias("w"))
+    words = words.where((F.length("w") >= 6) & F.col("w").rlike("^[!-~]+$"))
+    listed = [r.w for r in words.groupBy("w").count().orderBy(F.desc("count"), "w").limit(10_000).collect()]
+    return terms.find_terms(articles(spark, sf_dir), {"benchmark": listed}).groupBy("keyword").agg(F.count("*").alias("articles"))
+
+
 @query
 def watchlist_mentions(spark, sf_dir):
     return intel.watch_mentions(articles(spark, sf_dir), WATCHED).withColumn("day", day_text("day"))

@@ -569,6 +569,11 @@ SELECT event_id, len(hits) AS indicator_count, primary_sectors, h.indicator AS i
        {joined('h.matched')} AS matched, len(h.matched) AS matches
 FROM (SELECT *, unnest(hits) AS h FROM ind)
 UNION ALL SELECT event_id, 0, primary_sectors, NULL, NULL, NULL FROM ind WHERE len(hits) = 0"""
+    sql["terms_economic"] = f"SELECT event_id, indicator, matched, matches FROM ({sql['intel_economic']}) WHERE indicator IS NOT NULL"
+    sql["terms_benchmark"] = ctes(ARTICLES, f"lows AS (SELECT *, {LOW} AS low FROM articles)", """
+words AS (SELECT unnest(string_split(lower(text), ' ')) AS w FROM benchmark),
+listed AS (SELECT w FROM words WHERE length(w) >= 6 AND regexp_full_match(w, '[!-~]+') GROUP BY w ORDER BY count(*) DESC, w LIMIT 10000)""") + """
+SELECT w AS keyword, count(*) AS articles FROM listed JOIN lows ON contains(low, w) GROUP BY w"""
     commodities = present(
         (has_any(ws), f"{{'category': {lit(k)}, 'names': {found(ws)}}}") for k, ws in lx.COMMODITIES.items()
     )
