@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidewire.llm import queries, suffixarrays
+from tidewire.llm import kernels, suffixarrays
 
 
 def random_bytes(rnd):
@@ -42,6 +42,10 @@ def test_groups_are_lyndon_prefixes_in_descending_order():
             assert p == max((j for j in range(i) if rank[j] > rank[i]), default=-1)
 
 
+def named(least):
+    return int(kernels.mix(np.array([least], np.uint64))[0])
+
+
 def test_segments_cover_every_window_once(monkeypatch):
     rnd = random.Random(1)
     texts = [b"", b"abc", bytes(rnd.randint(97, 99) for _ in range(500)), b"a" * 49, b"a" * 50, b"", b"a" * 300, b"ab" * 200, b"x" * 51]
@@ -55,11 +59,42 @@ def test_segments_cover_every_window_once(monkeypatch):
             content = texts[t][s : s + n + 49]
             assert names.setdefault(name, content) == content
             grams = suffixarrays._gram_hashes(np.frombuffer(content, np.uint8), (suffixarrays.GRAM,))[0]
-            assert all(b == min(grams[i : i + 27].tolist()) for i in range(n))
+            assert all(b == named(grams[i : i + 27].min()) for i in range(n))
+        for b, t, s, n, p in zip(*(x.tolist() for x in (found.bin, found.text, found.start, found.windows, found.place))):
+            if p != suffixarrays.NOWHERE:
+                gram = np.frombuffer(texts[t][s + p : s + p + suffixarrays.GRAM], np.uint8)
+                assert n - 1 <= p and named(suffixarrays._gram_hashes(gram, (suffixarrays.GRAM,))[0][0]) == b
         assert len(names) == len(set(names.values()))
         assert all(sorted(seen[t]) == list(range(max(0, len(x) - 49))) for t, x in enumerate(texts))
 
 
+def test_windows_of_a_bin_find_their_least_key():
+    rnd = random.Random(12)
+    make = lambda n: bytes(rnd.choice(b"abc") for _ in range(n))
+    for _ in range(40):
+        gram, left, right = make(24), make(26), make(26)
+        contents, places = {}, []
+        for _ in range(rnd.randint(2, 8)):
+            a, b = rnd.randint(0, 26), rnd.randint(0, 26)
+            own = make(26)[a:] + left[26 - a :] + gram + right[:b] + make(26)[b:]
+            place = 26
+            begin = rnd.randint(0, 26)
+            content = own[begin : min(len(own), 26 + 50)]
+            if len(content) >= 50 and content not in contents:
+                contents[content] = rnd.randint(0, 5)
+                places.append(place - begin)
+        contents = {c: k for (c, k), p in zip(contents.items(), places) if len(c) - 50 <= p}
+        places = [c.find(gram) if c.find(gram) >= len(c) - 50 else suffixarrays.NOWHERE for c in contents]
+        want = defaultdict(lambda: 99)
+        for c, k in contents.items():
+            for i in range(len(c) - 49):
+                want[c[i : i + 50]] = min(want[c[i : i + 50]], k)
+        plain = {c: [want[c[i : i + 50]] for i in range(len(c) - 49)] for c in contents}
+        assert suffixarrays.earlier_windows(contents, [suffixarrays.NOWHERE] * len(contents)) == plain
+        if contents and all(c[p : p + 24] == gram for c, p in zip(contents, places) if p != suffixarrays.NOWHERE):
+            assert suffixarrays.earlier_windows(contents, places) == plain
+
+
 def plainly(rows):
     first = {}
     key = lambda i: -(1 << 63) if i is None else i
@@ -129,6 +164,13 @@ def test_empty_table_and_long_text(spark):
     assert [r[2] for r in run(df)] == [0, 200]
 
 
+def test_groups_are_even():
+    rnd = np.random.default_rng(0)
+    found = suffixarrays.Segments([bytes(rnd.integers(97, 123, 200_000).astype(np.uint8))])
+    sizes = np.bincount(suffixarrays._group_of(suffixarrays._short(found.bin), 16), minlength=16)
+    assert len(sizes) == 16 and sizes.max() < 1.3 * sizes.mean()
+
+
 def test_texts_are_shuffled_once(spark, sf_dir):
     """The three passes over the buckets read one exchange of the texts."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -1,7 +1,8 @@
 """Byte passages that earlier documents hold, by suffix arrays over bins of candidates.
 
 Every window of 50 bytes belongs to the bin of its least gram: the least hash of
-the grams of 24 bytes inside it, which equal windows share. Neighbouring windows
+the grams of 24 bytes inside it (hashed once more, as least values crowd together),
+which equal windows share. Neighbouring windows
 of one bin make a segment, so a text is some segments, one for about every 15
 bytes. Bins that only one segment of the corpus falls into are found from sorted
 lists of gram hashes and go no further. The segments of each other bin meet in a
@@ -16,6 +17,7 @@ order is left to find.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -30,9 +32,11 @@ from tidewire.session import cut_lineage
 
 WINDOW = 50  # bytes of a passage
 GRAM = 24  # bytes of the grams that name bins
-BUCKET = 8 << 20  # bytes of text of a bucket
+BUCKET = 4 << 20  # bytes of text of a bucket; more for corpora of terabytes, so that buckets and groups meet in fewer rows
+LARGEST_BUCKET = 64 << 20
 HOT = 2048  # segments of a bin; those of larger bins go on as single windows
-PIECE = 4096  # windows of a segment at most
+NOWHERE = 255
+PIECE = 64  # windows of a segment at most; in periodic text pieces repeat, where whole runs would differ by their lengths
 _SLICE = 1 << 19  # bytes hashed at a time
 _NULL_ID = -(1 << 63)  # stands for a null id, which so comes first
 _U = np.uint64
@@ -166,7 +170,10 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 class Segments:
-    """Segments of a list of texts: bin, name (a hash of the content), text number, first byte, windows."""
+    """Segments of a list of texts: bin, name (a hash of the content), text number, first byte, windows, and the place of the gram.
+
+    The place is that of the bin's gram in the segment, if the same one lies in all its windows, else ``NOWHERE``.
+    """
 
     def __init__(self, texts: list[bytes]):
         found, at = [], 0
@@ -177,8 +184,8 @@ class Segments:
                 end += 1
             found.append(self._of(texts[at:end], at))
             at = end
-        none = [np.empty(0, _U)] * 2 + [np.empty(0, np.int64)] * 3
-        self.bin, self.name, self.text, self.start, self.windows = (np.concatenate(c) for c in zip(none, *found))
+        none = [np.empty(0, _U)] * 2 + [np.empty(0, np.int64)] * 4
+        self.bin, self.name, self.text, self.start, self.windows, self.place = (np.concatenate(c) for c in zip(none, *found))
 
     @staticmethod
     def _of(texts: list[bytes], first: int) -> list[np.ndarray]:
@@ -187,7 +194,7 @@ class Segments:
         begins = np.cumsum(lengths) - lengths
         n = len(data) - WINDOW + 1
         if n <= 0:
-            return [np.empty(0, _U)] * 2 + [np.empty(0, np.int64)] * 3
+            return [np.empty(0, _U)] * 2 + [np.empty(0, np.int64)] * 4
         grams, windows = _gram_hashes(data, (GRAM, WINDOW))
         least = _least(grams, WINDOW - GRAM + 1)
         cut = np.zeros(n + 1, bool)  # a segment or a stretch without windows starts here
@@ -202,8 +209,10 @@ class Segments:
         inside = starts < short[text]
         if sizes.max() > PIECE:  # long runs of one bin, as in periodic text, are cut
             return Segments._pieces(starts, sizes, least, windows, text, begins, inside, first)
-        starts, text = starts[inside], text[inside]
-        return [least[starts], names[inside], text + first, starts - begins[text], sizes[inside]]
+        starts, text, sizes = starts[inside], text[inside], sizes[inside]
+        place = (grams[starts[:, None] + np.arange(WINDOW - GRAM + 1)] == least[starts][:, None]).argmax(1)
+        place[place < sizes - 1] = NOWHERE
+        return [mix(least[starts]), names[inside], text + first, starts - begins[text], sizes, place]
 
     @staticmethod
     def _pieces(starts, sizes, least, windows, text, begins, inside, first) -> list[np.ndarray]:
@@ -214,7 +223,7 @@ class Segments:
         starts, sizes, text = starts[owner] + offset, np.minimum(PIECE, sizes[owner] - offset), text[owner]
         bounds = np.stack([starts, starts + sizes], 1).ravel()
         sums = np.add.reduceat(np.append(windows, _U(0)), bounds)[::2]
-        return [least[starts], mix(sums + sizes.astype(_U)), text + first, starts - begins[text], sizes]
+        return [mix(least[starts]), mix(sums + sizes.astype(_U)), text + first, starts - begins[text], sizes, np.full(len(starts), NOWHERE)]
 
     def kinds(self) -> tuple[np.ndarray, np.ndarray]:
         """(order, first): segments sorted so that equal ones lie together, and where each run of equal ones begins."""
@@ -350,7 +359,7 @@ def _candidates(texts: DataFrame, facts: DataFrame, groups: int) -> DataFrame:
         at = np.searchsorted(bins, _short(found.bin))
         rows = []
         chosen = np.flatnonzero(~late & more[at] & ~hot[at])
-        rows += _segment_rows(data, keys, found.bin[chosen], found.text[chosen], found.start[chosen], found.windows[chosen], bucket, groups)
+        rows += _segment_rows(data, keys, *(x[chosen] for x in (found.bin, found.text, found.start, found.windows, found.place)), bucket, groups)
         chosen = np.flatnonzero(~late & hot[at])
         if len(chosen):
             text, start = (np.repeat(x[chosen], found.windows[chosen]) for x in (found.text, found.start))
@@ -362,7 +371,7 @@ def _candidates(texts: DataFrame, facts: DataFrame, groups: int) -> DataFrame:
             late = key > _earliest(order, first, key)
             spans.append((text[late], start[late], np.ones(int(late.sum()), np.int64)))
             on = ~late
-            rows += _segment_rows(data, keys, names[on], text[on], start[on], np.ones(int(on.sum()), np.int64), bucket, groups)
+            rows += _segment_rows(data, keys, names[on], text[on], start[on], np.ones(int(on.sum()), np.int64), np.full(int(on.sum()), NOWHERE), bucket, groups)
         text, start, windows = (np.concatenate(c) for c in zip(*spans))
         if len(text):
             rows.append((bucket % groups, bucket, [_put(text), _put(start), _put(windows)]))
@@ -389,38 +398,43 @@ def _window_names(data: list[bytes], text: np.ndarray, start: np.ndarray) -> np.
     return out
 
 
-def _segment_rows(data, keys, bins, text, start, windows, bucket, groups) -> list[tuple]:
+def _segment_rows(data, keys, bins, text, start, windows, place, bucket, groups) -> list[tuple]:
     """Rows of packed segments, one for each group that has any."""
     order = np.argsort(bins, kind="stable")
-    bins, text, start, windows = bins[order], text[order], start[order], windows[order]
+    bins, text, start, windows, place = bins[order], text[order], start[order], windows[order], place[order]
     out = []
     for g, s in _cuts(_group_of(_short(bins), groups)):
         content = b"".join([data[t][b : b + n] for t, b, n in zip(text[s].tolist(), start[s].tolist(), (windows[s] + WINDOW - 1).tolist())])
         packed = [_put(np.diff(bins[s].view(np.int64) ^ np.int64(-1 << 63), prepend=np.int64(0)).view(_U)), _signed(keys[text[s]])]
-        out.append((g, bucket, [*packed, _put(text[s]), _put(start[s]), _put(windows[s]), content]))
+        out.append((g, bucket, [*packed, _put(text[s]), _put(start[s]), _put(windows[s]), _put(place[s]), content]))
     return out
 
 
-def earlier_windows(contents: dict[bytes, int]) -> dict[bytes, list[int]]:
+def earlier_windows(contents: dict[bytes, int], places: list[int]) -> dict[bytes, list[int]]:
     """For each content (with the least key that holds it), the least key of every window, by a suffix array of all contents.
 
     Contents are laid end to end with a byte that UTF-8 does not use between
-    them; suffixes of windows that are equal are neighbours in the order.
+    them; suffixes of windows that are equal are neighbours in the order. Where
+    one gram is known to lie in all windows, by its places in the contents, it is
+    laid as one more such byte, for it is the same in all.
     """
-    data = b"\xfe".join(contents)
+    short = NOWHERE not in places
+    laid = [c[:p] + b"\xff" + c[p + GRAM :] for c, p in zip(contents, places)] if short else list(contents)
+    window = WINDOW - GRAM + 1 if short else WINDOW
+    data = b"\xfe".join(laid)
     key_at, valid = [0] * len(data), bytearray(len(data))
     at = 0
-    for content, key in contents.items():
-        n = len(content) - WINDOW + 1
+    for part, key in zip(laid, contents.values()):
+        n = len(part) - window + 1
         key_at[at : at + n] = [key] * n
         valid[at : at + n] = b"\x01" * n
-        at += len(content) + 1
+        at += len(part) + 1
     before, run, least = b"", [], 0
     for i in suffix_order(data):
         if not valid[i]:
             continue
-        window = data[i : i + WINDOW]
-        if window == before:
+        this = data[i : i + window]
+        if this == before:
             run.append(i)
             if key_at[i] < least:
                 least = key_at[i]
@@ -428,14 +442,14 @@ def earlier_windows(contents: dict[bytes, int]) -> dict[bytes, list[int]]:
             if len(run) > 1:
                 for j in run:
                     key_at[j] = least
-            before, run, least = window, [i], key_at[i]
+            before, run, least = this, [i], key_at[i]
     if len(run) > 1:
         for j in run:
             key_at[j] = least
     out, at = {}, 0
-    for content in contents:
-        out[content] = key_at[at : at + len(content) - WINDOW + 1]
-        at += len(content) + 1
+    for content, part in zip(contents, laid):
+        out[content] = key_at[at : at + len(part) - window + 1]
+        at += len(part) + 1
     return out
 
 
@@ -449,18 +463,18 @@ def _repeats(segments: DataFrame) -> DataFrame:
                 buckets.append(bucket)
                 spans.append(blobs)
                 continue
-            bins, keys, text, start, windows, content = blobs
+            bins, keys, text, start, windows, place, content = blobs
             bins = np.cumsum(_take(bins))
             text, start, windows = _take(text), _take(start), _take(windows)
-            columns.append((bins, np.frombuffer(keys, np.int64), np.full(len(bins), bucket), text, start, windows))
+            columns.append((bins, np.frombuffer(keys, np.int64), np.full(len(bins), bucket), text, start, _take(place)))
             at = 0
             for n in (windows + WINDOW - 1).tolist():
                 contents.append(content[at : at + n])
                 at += n
         if columns:
-            bins, keys, bucket, text, start, windows = (np.concatenate(c) for c in zip(*columns))
+            bins, keys, bucket, text, start, place = (np.concatenate(c) for c in zip(*columns))
             order = np.argsort(bins, kind="stable")
-            low = keys.tolist()
+            low, place = keys.tolist(), place.tolist()
             found: list[tuple[int, int, int]] = []  # (entry, first window, windows)
             edge = np.flatnonzero(np.append(True, np.diff(bins[order]) != 0))
             sizes = np.diff(np.append(edge, len(order)))
@@ -478,7 +492,8 @@ def _repeats(segments: DataFrame) -> DataFrame:
                     (least,) = first.values()
                     found += [(i, 0, len(contents[i]) - WINDOW + 1) for i in entries if low[i] > least]
                     continue
-                least_of = earlier_windows(first)
+                where = {contents[i]: place[i] for i in entries}
+                least_of = earlier_windows(first, [where[c] for c in first])
                 for i in entries:
                     key, begin = low[i], -1
                     least = least_of[contents[i]]
@@ -579,11 +594,11 @@ def remove_repeats(
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    buckets = size // BUCKET + 1
+    buckets = size // min(LARGEST_BUCKET, max(BUCKET, 32 * math.isqrt(size))) + 1
     key = F.coalesce(F.col(id_col).cast("bigint"), F.lit(_NULL_ID)).alias("key")
     digest = F.unhex(F.md5(text.cast("binary"))).alias("digest")
     named = docs.select(F.col(id_col).alias("doc_id"), key, digest, text.alias("text"))
-    found = cleaned_texts(named, buckets, max(8, buckets // 4))
+    found = cleaned_texts(named, buckets, max(16, buckets // 2))
     found = found.select("*", shape(F.lit(b"").cast("binary")).alias("_nothing")).withColumn("kept", shape(F.col("kept")))
     rows = joined_by_text(named.drop("text"), cut_lineage(found, "cleaned"))
     copy = (F.col("key") > F.col("first_key")) & (F.col("n_bytes") >= WINDOW)
