@@ -1,5 +1,6 @@
 import datetime
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql import types as T
 from tidewire.operators import clean, enrich, features, nlp, transform, vector_index
 from tidewire.session import chain, scratch_dir
 from tidewire.sources import landed
-from tidewire.streaming import sinks, streams
+from tidewire.streaming import keyed, sinks, streams
 
 
 def test_gdelt_responses(spark, tmp_path):
@@ -79,6 +80,63 @@ def test_stream_dedup_across_batches(land):
     assert sorted(r.title for r in rows) == ["hot", "new"]
 
 
+def drained(stream, out, state):
+    with keyed.settings(stream.sparkSession):
+        query = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", state).trigger(availableNow=True).start()
+    assert query.awaitTermination(90)
+
+
+def test_keyed_dedup_outlives_the_watermark_and_restarts(land, spark, make_articles):
+    """Late and earlier copies are copies, new keys pass however late they are, and a restart forgets nothing."""
+    t0, day = datetime.datetime(2024, 3, 1), datetime.timedelta(days=1)
+    row = lambda i, title, ts: {"event_id": i, "title": title, "event_ts": ts}
+    folder = scratch_dir(spark, "keyed-in")
+    first = make_articles(row("b", "hot", t0 + day), row("a", "hot", t0), row("c", "other", t0), row("z", "hot", t0 + 2 * day))
+    first.coalesce(1).write.parquet(folder)
+    stream = lambda: spark.readStream.schema(first.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    out, state = scratch_dir(spark, "keyed-out"), scratch_dir(spark, "keyed-state")
+    drained(keyed.dedup_stream_keyed(stream()), out, state)
+    assert sorted(r.event_id for r in spark.read.parquet(out).collect()) == ["a", "c"]
+    make_articles(row("early", "hot", t0 - 90 * day), row("late", "new", t0 - 200 * day)).coalesce(1).write.mode("append").parquet(folder)
+    drained(keyed.dedup_stream_keyed(stream()), out, state)
+    make_articles(row("x", "other", t0 + 300 * day), row("y", "new", t0)).coalesce(1).write.mode("append").parquet(folder)
+    drained(keyed.dedup_stream_keyed(stream()), out, state)
+    got = spark.read.parquet(out).collect()
+    assert sorted(r.event_id for r in got) == ["a", "c", "late"] and all(len(r.dedup_key) == 32 for r in got)
+
+
+def test_keys_are_forgotten_after_their_time(land, spark, make_articles):
+    import time
+
+    folder, out, state = (scratch_dir(spark, f"ttl-{x}") for x in ("in", "out", "state"))
+    batch = make_articles({"title": "hot"})
+    batch.coalesce(1).write.parquet(folder)
+    for again in range(2):
+        stream = spark.readStream.schema(batch.schema).parquet(folder)
+        drained(keyed.dedup_stream_keyed(stream, ttl_days=0.5 / 86_400), out, state)
+        time.sleep(1)
+        batch.coalesce(1).write.mode("append").parquet(folder)
+    assert spark.read.parquet(out).count() == 2
+
+
+def test_sliding_windows_are_made_of_daily_sums(land, spark):
+    """Windows of seven days from daily sums hold what each row in all its windows gives."""
+    day, t0 = datetime.timedelta(days=1), datetime.datetime(2024, 1, 1, 12)
+    rnd = random.Random(7)
+    rows = [{"event_id": str(i), "content": rnd.choice(["war", "rally", "x"]), "language": rnd.choice("ab"), "event_ts": t0 + rnd.randrange(12) * day} for i in range(80)]
+    end = [{"event_id": "end", "content": "x", "language": "a", "event_ts": t0 + 60 * day}]
+    feats = chain(nlp.score_sentiment, features.extract_features)(land(rows, end))
+    got = streams.drain(streams.windowed_sums(feats, "language", "1 day", "7 days", "1 day"), "t")
+    got = {(r.w.start, r.language): (r.total_events, r.n_positive, r.n_negative) for r in got.collect() if r.w.start < t0 + 20 * day}
+    want = {}
+    for r in rows:
+        for back in range(7):
+            start = datetime.datetime(2024, 1, 1) + (r["event_ts"] - t0) - back * day
+            n, p, m = want.get((start, r["language"]), (0, 0, 0))
+            want[start, r["language"]] = (n + 1, p + (r["content"] == "rally"), m + (r["content"] == "war"))
+    assert got == want
+
+
 def test_stream_equals_batch(land, make_articles):
     rows = [{"title": "NATO", "content": "war and growth in Syria"}, {"title": "x", "content": "rally"}]
     steps = chain(clean.normalize, clean.validate, enrich.extract_entities, nlp.score_sentiment, features.extract_features)

@@ -22,7 +22,7 @@ from tidewire.operators import (
 from tidewire.plans import flows
 from tidewire.session import cut_lineage, scratch_dir
 from tidewire.sources import adapters, landed, landing
-from tidewire.streaming import sinks, streams
+from tidewire.streaming import keyed, sinks, streams
 
 RUN_TS = "2024-02-01T00:00:00"
 START = "2024-01-01"
@@ -925,6 +925,15 @@ def stream_dedup(spark, sf_dir):
     return streams.drain(streams.dedup_stream(narrow, "40 days"), "dedup").select("dedup_key", "title")
 
 
+@query
+def stream_dedup_keyed(spark, sf_dir):
+    """The same with a state per key that outlives any watermark."""
+    stream = adapters.articles_of(streams.stream_table(spark, sf_dir, "documents"))
+    narrow = stream.select("event_id", "event_ts", "title", "url")
+    with keyed.settings(spark):
+        return streams.drain(keyed.dedup_stream_keyed(narrow), "dedup-keyed").select("dedup_key", "title")
+
+
 @query
 def stream_transform(spark, sf_dir):
     marked = streams.mark_processed(streams.stream_table(spark, sf_dir, "events"), "ts")
@@ -943,6 +952,17 @@ def stream_signals(spark, sf_dir):
     )
 
 
+@query
+def stream_signals_daily(spark, sf_dir):
+    """Tumbling days: the first step of the seven-day windows as an output of its own."""
+    stream = adapters.articles_of(streams.stream_table(spark, sf_dir, "documents"))
+    rows = flows.feature_rows(stream, POSITIVE, NEGATIVE)
+    out = streams.drain(streams.windowed_signals(rows, "language", length="1 day"), "signals-daily")
+    return rounded(
+        out.withColumns({"window_start": stamp("window_start"), "window_end": stamp("window_end")})
+    )
+
+
 @query
 def stream_realtime(spark, sf_dir):
     """Short texts arrive live and are scored against the stored index of the embedded documents."""

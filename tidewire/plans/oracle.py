@@ -845,6 +845,7 @@ FROM equity e LEFT JOIN metrics USING (strategy_id) LEFT JOIN trends t ON t."lan
 
     # streams
     sql["stream_dedup"] = art + "SELECT DISTINCT dedup_key, title FROM articles"
+    sql["stream_dedup_keyed"] = sql["stream_dedup"]
     sql["stream_transform"] = "SELECT event_id, event_type, true AS stream_processed, true AS waited FROM events"
     sql["stream_signals"] = ctes(ARTICLES, TAGGED, """windows AS (
   SELECT CAST(unnest(range(CAST(CAST(event_ts AS DATE) AS TIMESTAMP) - INTERVAL 6 DAY,
@@ -855,6 +856,12 @@ FROM equity e LEFT JOIN metrics USING (strategy_id) LEFT JOIN trends t ON t."lan
   FROM windows WHERE ws + INTERVAL 7 DAY <= (SELECT max(event_ts) - INTERVAL 1 DAY FROM articles))""",
         aggregate("shut", 'window_start, window_end, "language"')
     ) + fired('window_start, window_end, "language"', "aggs", RULES)
+    sql["stream_signals_daily"] = ctes(ARTICLES, TAGGED, """shut AS (
+  SELECT *, strftime(CAST(event_ts AS DATE), '%Y-%m-%d %H:%M:%S') AS window_start,
+         strftime(CAST(event_ts AS DATE) + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S') AS window_end
+  FROM feats WHERE CAST(event_ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(event_ts) - INTERVAL 1 DAY FROM articles))""",
+        aggregate("shut", 'window_start, window_end, "language"')
+    ) + fired('window_start, window_end, "language"', "aggs", RULES)
     sql["stream_out"] = """
 SELECT CAST(event_id AS VARCHAR) AS key, 'pipeline_update' AS type, 'streaming_out' AS pipeline, event_type, user_id,
        value, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS "timestamp" FROM events"""

@@ -60,6 +60,25 @@ def mark_processed(df: DataFrame, ts: str) -> DataFrame:
     )
 
 
+def windowed_sums(features: DataFrame, group: str, delay: str, length: str, slide: str) -> DataFrame:
+    """Partial sums per window and group.
+
+    Rows are summed once, into tumbling windows of ``slide``; sliding windows are
+    then made of these few sums. (A row in each window that covers it would be
+    ``length / slide`` copies of every row.) ``length`` must be a multiple of ``slide``.
+    """
+    sums = feature_sums()
+    steps = (
+        event_time(features, "event_ts", delay)
+        .groupBy(F.window("event_ts", slide).alias("w"), group)
+        .agg(*sums)
+    )
+    if length == slide:
+        return steps
+    names = [c for c in steps.columns if c not in ("w", group)]
+    return steps.groupBy(F.window(F.window_time("w"), length, slide).alias("w"), group).agg(*[F.sum(c).alias(c) for c in names])
+
+
 def windowed_signals(
     features: DataFrame,
     group: str,
@@ -69,13 +88,10 @@ def windowed_signals(
 ) -> DataFrame:
     """Rule signals per sliding window and group, emitted when the window closes.
 
-    Rows later than the watermark are dropped.
+    Rows later than the watermark are dropped. ``length == slide`` gives tumbling
+    windows, such as one per day.
     """
-    sums = (
-        event_time(features, "event_ts", delay)
-        .groupBy(F.window("event_ts", length, slide).alias("w"), group)
-        .agg(*feature_sums())
-    )
+    sums = windowed_sums(features, group, delay, length, slide)
     rows = sums.withColumns({"window_start": F.col("w.start"), "window_end": F.col("w.end")}).drop("w")
     keys = ("window_start", "window_end", group)
     return (
