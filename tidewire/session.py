@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import contextvars
 import functools
 import uuid
 from collections.abc import Callable
@@ -12,7 +13,8 @@ from pyspark.sql import functions as F
 
 Step = Callable[[DataFrame], DataFrame]
 
-_SCOPES: list[list[str]] = []  # folders written inside each open scratch scope
+# Folders written inside the innermost open scratch scope of a thread: stream batches run in threads of their own.
+_SCOPE: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("scratch", default=None)
 
 
 def build_session(
@@ -44,16 +46,26 @@ def build_session(
 
 
 def _shared_root(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``, or where that is unset a folder in the warehouse, which all executors share too."""
+    """``spark.checkpoint.dir``, or where that is unset a folder in the warehouse.
+
+    A warehouse on a local disk is only shared where all executors run on the
+    driver's machine; on a cluster it is refused.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    return root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    if root:
+        return root
+    root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if root.startswith(("file:", "/")) and not (spark.conf.get("spark.master", None) or "local").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share: the warehouse is on a local disk")
+    return f"{root}/_scratch"
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder."""
     path = f"{_shared_root(spark).rstrip('/')}/tidewire/{label}-{uuid.uuid4().hex}"
-    if _SCOPES:
-        _SCOPES[-1].append(path)
+    scope = _SCOPE.get()
+    if scope is not None:
+        scope.append(path)
     return path
 
 
@@ -64,14 +76,21 @@ def scratch_scope(spark: SparkSession):
     For work whose result does not read it any more: a stream's batch that has
     been written to its sink, a search whose answer has come to the driver.
     """
-    _SCOPES.append([])
+    token = _SCOPE.set([])
     try:
         yield
     finally:
-        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-        for path in _SCOPES.pop():
-            folder = jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(conf).delete(folder, True)
+        written = _SCOPE.get()
+        _SCOPE.reset(token)
+        drop_folders(spark, written)
+
+
+def drop_folders(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch folders, in whatever store they are; needs a classic session, as the file system is the JVM's."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)
 
 
 def cut_lineage(df: DataFrame, label: str) -> DataFrame:
