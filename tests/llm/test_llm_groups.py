@@ -125,9 +125,22 @@ def near_texts():
     return out + [out[0], out[0], None, "", " ", "a b", "a  b", "a b"]
 
 
-@pytest.mark.parametrize("full", [32_768, 10])
-def test_large_buckets_lose_no_link(spark, monkeypatch, full):
-    for name, value in {"SMALL": 20, "PIVOTS": 2, "OTHERS": 16, "MEMBERS": 32, "FULL": full}.items():
+def grouped(n, pairs):
+    root = list(range(n))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in pairs:
+        root[max(top(a), top(b))] = min(top(a), top(b))
+    return [top(i) for i in range(n)]
+
+
+@pytest.mark.parametrize("block", [(16, 32), (4096, 8192)])
+def test_large_buckets_lose_no_link(spark, monkeypatch, block):
+    for name, value in {"SMALL": 20, "PIVOTS": 2, "OTHERS": block[0], "MEMBERS": block[1], "TOGETHER": 5}.items():
         monkeypatch.setattr(weighted, name, value)
     rnd = random.Random(5)
     word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(6))
@@ -143,18 +156,34 @@ def test_large_buckets_lose_no_link(spark, monkeypatch, full):
     near = {(i, j): similarity(sets[i], sets[j], share) for i in range(160) for j in range(i)}
     assert sum(0.75 < x < 0.85 for x in near.values()) > 1500
     sig = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    rows = weighted.signatures(sig, weighted.common_shingles(sig)).select(
-        F.explode("keys").alias("key"), F.lit(0).alias("at"), "doc_id", F.col("doc_id").alias("node"), F.col("doc_id").alias("cls"), "sig"
+    common = weighted.common_shingles(sig)
+    rows = weighted.signatures(sig, common).select(
+        F.explode("keys").alias("key"), "doc_id", F.col("doc_id").alias("node"), F.col("doc_id").alias("cls"), "sig", F.col("keys").alias("bands")
     ).cache()
     signs = {r["doc_id"]: np.frombuffer(r["sig"], np.uint8) for r in rows.select("doc_id", "sig").distinct().collect()}
     met = {}
     for r in rows.collect():
         met.setdefault(r["key"], set()).add(r["doc_id"])
     assert max(map(len, met.values())) > 20
-    # Every pair of a bucket that agrees often enough is found, however large the bucket.
+    # Every pair of a bucket that agrees often enough is verified, in one bucket, however large the bucket.
     want = {(a, b) for m in met.values() for a in m for b in m if a < b and (signs[a] == signs[b]).sum() >= weighted.MAYBE}
-    got = {(r["a"], r["b"]) for r in weighted.pairs_between_classes(weighted.mixed_buckets(rows.drop("doc_id")), False).collect()}
-    assert got <= want and len(want - got) <= (0 if full > 1000 else 0.002 * len(want))
+    in_key = {}
+    for key in sorted(met, reverse=True):
+        in_key |= {(a, b): key for a in met[key] for b in met[key] if (a, b) in want}
+    still = weighted.open_members(weighted.mixed_buckets(rows)).cache()
+    assert {(r["key"], r["node"]) for r in still.collect()} == {(key, x) for pair, key in in_key.items() for x in pair}
+    _, shingle, count = zip(*(weighted.shingle_sets([t.encode()]) for t in texts))
+    words = spark.createDataFrame([(i, len(s), weighted._packed(s, c)) for i, (s, c) in enumerate(zip(shingle, count))], "node long, size int, words binary")
+    for i in (0, 77):
+        s, x = weighted._weighted(weighted._packed(shingle[i], count[i]), len(shingle[i]), weighted.Weights(common))
+        assert (s == shingle[i]).all() and np.allclose(x, weighted.Weights(common).of(shingle[i], count[i]))
+    twice = weighted._packed(shingle[0], count[0] * 2)
+    assert np.allclose(weighted._weighted(twice, len(shingle[0]), weighted.Weights({}))[1], 2 * weighted.Weights({}).of(shingle[0], count[0]))
+    # Classes: what the links join is what all pairs that are verified would join.
+    found = weighted._bucket_links(weighted.mixed_buckets(rows.join(still, ["key", "node"])).join(words, "node"), common, 0.8).collect()
+    assert all(abs(near[b, a] - s) < 1e-6 and s >= 0.8 - 1e-9 for a, b, s in found)
+    assert grouped(160, [(a, b) for a, b, _ in found]) == grouped(160, [(a, b) for a, b in want if near[b, a] >= 0.8 - 1e-9])
+    assert len(found) <= 160 * len(met)
 
 
 def test_settled_members_still_meet_each_other(spark, monkeypatch):

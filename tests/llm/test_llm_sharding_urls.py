@@ -117,3 +117,48 @@ def test_blocks_follow_links_and_allows_stand(spark):
     assert got == [(1, "block"), (2, "block"), (3, "allow"), (4, "block"), (5, "block"), (6, "allow"), (6, "allow")]
     assert urls.judge_pages(df.where("false")).count() == 0
     assert df.where(F.lit(False)).count() == 0
+
+
+def test_placement_equals_a_plain_rebuild(spark):
+    """Slots, owners and positions worked out row by row, without the operator's code."""
+    import random
+    import struct
+    import zlib
+
+    import xxhash
+
+    rnd = random.Random(3)
+    rows = [(rnd.choice([None, *range(400)]), rnd.choice([None, "", "same", "é" * rnd.randint(0, 40), "x" * rnd.randint(0, 3000)])) for _ in range(900)]
+    rows += [(5, "y" * 400_000), (5, "again"), (5, "again")]
+
+    def slot_of(doc_id, crc):
+        seed = 42
+        for value in (doc_id, crc):
+            if value is not None:
+                seed = xxhash.xxh64_intdigest(struct.pack("<q", value), seed)
+        return (seed - (1 << 64) if seed >> 63 else seed) % sharding.SLOTS
+
+    known = []
+    for doc_id, text in rows:
+        data = (text or "").encode()
+        crc = zlib.crc32(data)
+        known.append((doc_id, len(data) + 1, crc, slot_of(doc_id, crc)))
+    sizes = [0] * sharding.SLOTS
+    for _, size, _, slot in known:
+        sizes[slot] += size
+    loads, owner = [0] * 16, [0] * sharding.SLOTS
+    for slot in sorted(range(sharding.SLOTS), key=lambda s: (-sizes[s], s)):
+        owner[slot] = min(range(16), key=lambda s: (loads[s], s))
+        loads[owner[slot]] += sizes[slot]
+    want, used = [], [0] * 16
+    for slot in range(sharding.SLOTS):
+        inside = sorted((r for r in known if r[3] == slot), key=lambda r: (r[0] is not None, r[0] or 0, r[2], r[1]))
+        for r in inside:
+            want.append((*r, owner[slot], used[owner[slot]]))
+            used[owner[slot]] += 1
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    placed, _ = sharding.shard_documents(df)
+    got = [(r.doc_id, r["size"], r.text_crc32, r.vslot, r["shard"], r["slot"]) for r in placed.collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    for shard in range(16):
+        assert sorted(r[5] for r in got if r[4] == shard) == list(range(used[shard]))
