@@ -51,6 +51,27 @@ def test_ids_and_bytes_match_the_public_encoder(spark):
         assert got[i]["decoded_sha256"] == hashlib.sha256((t or "").encode()).hexdigest()
 
 
+def test_one_pass_gives_what_two_give(spark):
+    tokenizer = bpe.Tokenizer(spark, queries.BYTE_RANKS, public_tokenizers.PATTERN)
+    rows = [(i, t, 9, "x") for i, t in enumerate(token_texts())]
+    df = spark.createDataFrame(rows, "doc_id long, text string, bytes int, ids string")
+    once = tokenizer.round_trip(df)
+    assert once.columns == ["doc_id", "ids", "bytes"]
+    assert once._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    two = tokenizer.decode(tokenizer.encode(df.select("doc_id", "text")))
+    key = lambda r: r["doc_id"]
+    assert [(r["ids"], bytes(r["bytes"])) for r in sorted(once.collect(), key=key)] == [(r["ids"], bytes(r["bytes"])) for r in sorted(two.collect(), key=key)]
+    assert tokenizer.round_trip(df.where("false")).count() == 0
+
+
+def test_ranks_beyond_the_bitmap_are_refused():
+    import pytest
+
+    line = base64.b64encode(b"a") + b" 65536"
+    with pytest.raises(ValueError, match="65536"):
+        bpe.read_ranks(line)
+
+
 def test_other_columns_stay_and_empty_tables_work(spark):
     tokenizer = bpe.Tokenizer(spark, queries.BYTE_RANKS, public_tokenizers.PATTERN)
     df = spark.createDataFrame([(1, "a b", "x"), (1, "a b", "x"), (None, None, None)], "doc_id long, text string, ids string")

@@ -13,9 +13,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from tidewire.llm.kernels import slices
+
 CACHED_CHARS = 48  # longer pre-tokens are merged anew each time
 CACHED_PIECES = 500_000  # the cache is emptied when it holds so many
 SLICE = 512  # rows per output batch
+MOST_RANKS = 1 << 16
+ROUND_BYTES = 1 << 20  # bytes of text encoded and decoded at a time
 
 
 _BIT = [1 << i for i in range(256)]
@@ -153,8 +157,21 @@ class Encoder(dict):
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
-    """Token bytes to rank, from the lines of a rank file."""
-    return {base64.b64decode(a): int(b) for a, b in (line.split() for line in data.splitlines() if line.strip())}
+    """Token bytes to rank, from the lines of a rank file; ranks beyond the queue's bitmap are refused."""
+    ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in data.splitlines() if line.strip())}
+    if max(ranks.values(), default=0) >= MOST_RANKS:
+        raise ValueError(f"ranks must be below {MOST_RANKS}, what two levels of 256 bits hold")
+    return ranks
+
+
+def _pool(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes of all tokens end to end, where each id's begin, how many they are)."""
+    size = max(ranks.values()) + 1
+    begin, length, at = np.zeros(size, np.int64), np.zeros(size, np.int64), 0
+    for token, rank in ranks.items():
+        begin[rank], length[rank] = at, len(token)
+        at += len(token)
+    return np.frombuffer(b"".join(ranks), np.uint8), begin, length
 
 
 _MADE: dict[tuple, object] = {}  # per Python worker
@@ -204,6 +221,41 @@ class Tokenizer:
 
         return docs.select(*kept, text_col).mapInArrow(run, schema)
 
+    def round_trip(self, docs: DataFrame, text_col: str = "text", ids: str = "ids", out: str = "bytes") -> DataFrame:
+        """``docs`` with the token ids of each whole text, and the bytes that these ids stand for, in place of the text.
+
+        What ``decode(encode(docs))`` gives, in one pass over the rows: the bytes come
+        from the ids alone, by one gather from the bytes of all tokens laid end to end.
+        """
+        kept = [c for c in docs.columns if c not in (text_col, ids, out)]
+        schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField(ids, _list_type()), T.StructField(out, T.BinaryType())])
+        shipped, pattern, digest = self.shipped, self.pattern, self.digest
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            import regex
+
+            encoder = _once(("encoder", digest), lambda: Encoder(read_ranks(shipped.value)))
+            pool, begin, length = _once(("pool", digest), lambda: _pool(read_ranks(shipped.value)))
+            split = regex.compile(pattern).findall
+            ids_of = encoder.__getitem__
+            for whole in batches:
+                for batch in slices(whole, whole.schema.names.index(text_col), ROUND_BYTES):
+                    texts = batch.column(batch.schema.names.index(text_col)).to_pylist()
+                    packed = [b"".join(map(ids_of, split(text))) if text else b"" for text in texts]
+                    bounds = np.cumsum([0, *map(len, packed)]) // 4
+                    flat = np.frombuffer(b"".join(packed), dtype=np.int32)
+                    sizes = length[flat]
+                    ends = np.cumsum(sizes)
+                    data = pool[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(begin[flat] - (ends - sizes), sizes)]
+                    offsets = np.concatenate([[0], ends])[bounds].astype(np.int32)
+                    lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat))
+                    texts = pa.Array.from_buffers(pa.binary(), len(packed), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(batch.schema.names.index(c)) for c in kept] + [lists, texts], names=[*kept, ids, out]
+                    )
+
+        return docs.select(*kept, text_col).mapInArrow(run, schema)
+
     def decode(self, encoded: DataFrame, ids_col: str = "ids", out: str = "bytes", drop_ids: bool = False) -> DataFrame:
         """``encoded`` with the bytes that the ids stand for in ``out``; null or no ids give empty bytes."""
         kept = [c for c in encoded.columns if c != out and not (drop_ids and c == ids_col)]

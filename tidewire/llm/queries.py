@@ -59,7 +59,7 @@ def op5_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 def token_digests(docs: DataFrame) -> DataFrame:
     """Ids and decoded bytes of every text, reduced to digests beside the other columns."""
     tokenizer = bpe.Tokenizer(docs.sparkSession, BYTE_RANKS, public_tokenizers.PATTERN)
-    decoded = tokenizer.decode(tokenizer.encode(docs))
+    decoded = tokenizer.round_trip(docs)
     return decoded.select(
         *[c for c in docs.columns if c != "text"],
         F.size("ids").cast("long").alias("n_tokens"),
