@@ -90,3 +90,23 @@ def test_texts_pass_one_shuffle_and_no_aggregate(spark, make_articles):
     assert all("content" not in line for line in plan.splitlines() if "Aggregate" in line)
     assert sum("Exchange hashpartitioning(_row" in line for line in plan.splitlines()) <= 2  # the rows, and the winners' names
     assert "Exchange hashpartitioning(dedup_key" in plan
+
+
+def test_counts_come_with_the_pass_that_writes(spark, make_articles):
+    from pyspark.sql import Observation
+
+    from tidewire.streaming import sinks
+
+    rows = make_articles(*[{"title": f"t{i % 7}", "content": "c", "language": "ab"[i % 2]} for i in range(20)])
+    for broadcast in ("-1", "10m"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+        try:
+            counts = Observation()
+            path = scratch_dir(spark, "counted")
+            assert sinks.write_counted(clean.dedup(rows, counts=counts), path, "language") == 7
+            want = clean.dedup_counts(rows).first()
+            assert counts.get == {"kept": want.kept, "skipped": want.skipped} == {"kept": 7, "skipped": 13}
+            assert spark.read.parquet(path).count() == 7
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sinks.write_counted(rows.where("false"), scratch_dir(spark, "counted"), "language") == 0

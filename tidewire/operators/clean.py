@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tidewire.functions import text as t
@@ -37,9 +37,12 @@ def _named(df: DataFrame, order: tuple[str, ...]) -> DataFrame:
     return keyed.withColumn("_row", F.md5(F.to_json(F.struct("dedup_key", *order), {"ignoreNullFields": "false"})))
 
 
-def _winners(named: DataFrame, order: tuple[str, ...]) -> DataFrame:
+def _winners(named: DataFrame, order: tuple[str, ...], counts: Observation | None = None) -> DataFrame:
     """(dedup_key, _row) of the first row of each key; a narrow aggregate, combined map-side."""
-    first = named.groupBy("dedup_key").agg(F.min(F.struct(*order, "_row")).alias("_first"))
+    first = named.groupBy("dedup_key").agg(F.min(F.struct(*order, "_row")).alias("_first"), F.count("*").alias("_copies"))
+    if counts is not None:
+        skipped = F.coalesce(F.sum("_copies") - F.count("*"), F.lit(0))
+        first = first.observe(counts, F.count("*").alias("kept"), skipped.alias("skipped"))
     return first.select("dedup_key", "_first._row")
 
 
@@ -54,15 +57,16 @@ def _picked(named: DataFrame, winners: DataFrame) -> DataFrame:
     return ranked.where("_n = 1").drop("_n", "_row")
 
 
-def dedup(df: DataFrame, order: tuple[str, ...] = ARRIVAL_ORDER) -> DataFrame:
+def dedup(df: DataFrame, order: tuple[str, ...] = ARRIVAL_ORDER, counts: Observation | None = None) -> DataFrame:
     """Keep the first article per md5(title ++ url); the key stays as ``dedup_key``.
 
     Of rows that ``order`` does not tell apart, such as one article delivered
     twice, one is kept. The first copies are found on key and order alone, and only
-    the columns that are read later move, in one shuffle at most.
+    the columns that are read later move, in one shuffle at most. ``counts`` gets
+    ``kept`` and ``skipped`` from the pass that writes the result.
     """
     named = _named(df, order)
-    return _picked(named, _winners(named, order))
+    return _picked(named, _winners(named, order, counts))
 
 
 def dedup_counts(df: DataFrame, *group: str) -> DataFrame:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire.operators import graph, similarity
@@ -90,6 +91,16 @@ def stored_nodes(spark: SparkSession, root: str) -> DataFrame:
     return log.groupBy("id").agg(F.max_by(row, F.struct("batch_id", "label")).alias("_r")).select("id", "_r.*")
 
 
+def write_counted(df: DataFrame, path: str, *by: str, mode: str = "append") -> int:
+    """Write a table, partitioned by some columns, and return the rows that this very write has put there."""
+    counts = Observation()
+    df.observe(counts, F.count("*").alias("rows")).write.partitionBy(*by).mode(mode).parquet(path)
+    try:
+        return counts.get["rows"]
+    except Py4JJavaError:  # a table known to be empty when planned: the counting was planned away with it
+        return 0
+
+
 def compact_graph(spark: SparkSession, root: str, new_root: str) -> None:
     """Rewrite the graph log as one version."""
     stored_nodes(spark, root).write.parquet(f"{new_root}/nodes/batch_id=0")
