@@ -198,7 +198,11 @@ class Tokenizer:
         self.pattern = pattern
 
     def encode(self, docs: DataFrame, text_col: str = "text", out: str = "ids") -> DataFrame:
-        """``docs`` with the token ids of each whole text in ``out``, in place of the text. Null is empty: no ids."""
+        """``docs`` with the token ids of each whole text in ``out``, in place of the text.
+
+        Null is empty: no ids. Rows are independent: repeated ones get equal ids, an
+        empty table gives none, and a text of any length is encoded as a whole in memory.
+        """
         kept = [c for c in docs.columns if c != text_col and c != out]
         schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField(out, _list_type())])
         shipped, pattern, digest = self.shipped, self.pattern, self.digest
@@ -257,7 +261,7 @@ class Tokenizer:
         return docs.select(*kept, text_col).mapInArrow(run, schema)
 
     def decode(self, encoded: DataFrame, ids_col: str = "ids", out: str = "bytes", drop_ids: bool = False) -> DataFrame:
-        """``encoded`` with the bytes that the ids stand for in ``out``; null or no ids give empty bytes."""
+        """``encoded`` with the bytes that the ids stand for in ``out``; null or no ids give empty bytes, no rows give none."""
         kept = [c for c in encoded.columns if c != out and not (drop_ids and c == ids_col)]
         schema = T.StructType([encoded.schema[c] for c in kept] + [T.StructField(out, T.BinaryType())])
         shipped, digest = self.shipped, self.digest

@@ -350,6 +350,8 @@ def pseudonymize(text: Column, key: str = KEY) -> Column:
 def pseudonymize_documents(docs: DataFrame, key: str = KEY, text_col: str = "text") -> DataFrame:
     """All columns and rows of ``docs`` with ``text_col`` pseudonymised, row by row and without a shuffle.
 
-    Null and empty texts stay as they are; repeated rows get equal results.
+    Null and empty texts stay as they are; repeated rows get equal results; an
+    empty table gives none. A text is searched as a whole, in memory, whatever its
+    length. The key is a literal of the plan, so it shows in ``explain`` and in event logs.
     """
     return docs.withColumn(text_col, pseudonymize(F.col(text_col), key))

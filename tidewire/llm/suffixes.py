@@ -216,6 +216,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, group: int = GROUP) ->
     are judged on the input. A null text has no words; a null id comes before all
     others. Rows of one id count as one document: the first start of a window is
     the least (id, place), and what is removed of one is removed of its equals.
+    An empty table gives no rows; a text of any length is read as a whole in memory.
     Names have 56 bits within a group of bounded size, so a false match is as
     unlikely in a large corpus as in a small one, per suffix.
     """

@@ -109,7 +109,8 @@ def judge_pages(pages: DataFrame, redirects: DataFrame | None = None, rules=RULE
     target, is blocked by a rule, and allowed otherwise. Aliases are the pages
     connected by redirects (``redirects``: src_url, dst_url), canonical links and
     refresh tags, or equal but for scheme, fragment and last slash. Null or
-    malformed urls have no aliases and are allowed; repeated rows are judged alike.
+    malformed urls have no aliases and are allowed; repeated rows are judged alike;
+    an empty table gives none; html of any length is searched as a whole.
     """
     url = F.col("url")
     judged = pages.select("page_id", "url", host_of(url).alias("host"), path_of(url).alias("path"))
