@@ -1025,9 +1025,9 @@ def daily_flow(spark, sf_dir):
 def daily_store(spark, sf_dir):
     """The daily flow's tables, stored by day and read back: rows of each table and day."""
     root = scratch_dir(spark, "daily-store")
-    flows.store_daily(flows.daily_flow(articles(spark, sf_dir), POSITIVE, NEGATIVE), root)
+    schemas = flows.store_daily(flows.daily_flow(articles(spark, sf_dir), POSITIVE, NEGATIVE), root)
     counts = [
-        spark.read.parquet(f"{root}/{name}").groupBy(day_text("day").alias("day"))
+        spark.read.schema(schemas[name]).parquet(f"{root}/{name}").groupBy(day_text("day").alias("day"))
         .agg(F.count("*").alias("n")).select(F.lit(name).alias("table"), "day", "n")
         for name in flows.DAILY_TABLES
     ]

@@ -92,10 +92,11 @@ def daily_flow(
 DAILY_TABLES = ("rows", "nodes", "edges", "features", "signals")
 
 
-def store_daily(out: dict[str, DataFrame], root: str) -> None:
-    """Write the tables of ``daily_flow`` under ``root``, each partitioned by day.
+def store_daily(out: dict[str, DataFrame], root: str) -> dict[str, T.StructType]:
+    """Write the tables of ``daily_flow`` under ``root``, each partitioned by day, and return their schemas.
 
-    Nodes and edges carry the day of the article they come from.
+    Nodes and edges carry the day of the article they come from. A partitioned
+    write of no rows leaves no file to read a schema from, so readers are given it.
     """
     days = out["rows"].select(F.col("event_id").alias("_id"), F.to_date("event_ts").alias("day"))
     tables = {
@@ -107,6 +108,7 @@ def store_daily(out: dict[str, DataFrame], root: str) -> None:
     }
     for name in DAILY_TABLES:
         sinks.write_table(tables[name], f"{root}/{name}", "day", mode="overwrite")
+    return {name: tables[name].schema for name in DAILY_TABLES}
 
 
 def ingest_flow(spark: SparkSession, paths: Mapping[str, str], payload: T.StructType, run_ts: str) -> DataFrame:
