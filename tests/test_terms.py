@@ -1,5 +1,7 @@
 import random
+import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -54,3 +56,26 @@ def test_anchors_are_pieces_of_their_terms():
 def test_blank_terms_are_refused(make_articles):
     with pytest.raises(ValueError, match="white space"):
         terms.find_terms(make_articles({"content": "x"}), {"a": ["x", " "]})
+
+
+def test_windows_of_bytes_find_what_texts_hold():
+    """Keywords at the ends of texts, across their bounds, with many-byte letters, and sharing anchors."""
+    rnd = random.Random(2)
+    words = ["naïve", "日本語", "日本", "oil", "il", "o", "a b", " é", "😀", "x😀y", "inflation rate", "flation", "ation r", "a" * 20, "İ".lower()]
+    anchors = {w: terms.anchor_of(w, terms.Counter({"infla": 1, "nflat": 1})) for w in words}
+    texts = ["", "日本語", "oil", "o", "il", "inflation", " rate", "a" * 21, "日", "本"] + ["".join(rnd.choice([*words, " ", "z", "é"]) for _ in range(rnd.randint(0, 12))) for _ in range(200)]
+    raw = [x.encode() for x in texts]
+    bounds = np.cumsum([0, *map(len, raw)])
+    for piece in (1 << 18, 7):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(terms, "PIECE", piece)
+            text, term = terms.held_terms(np.frombuffer(b"".join(raw), np.uint8), bounds, terms.needles_of(anchors))
+        assert list(zip(text, term)) == [(i, j) for i, x in enumerate(texts) for j, w in enumerate(words) if w in x]
+
+
+def test_a_very_long_word_costs_its_length(make_articles):
+    """Its letters were once taken apart anew for each of its pieces. Rows whose id repeats or lacks stay apart."""
+    df = make_articles({"content": "b" * 100_000 + "inflation" + "c" * 100_000}, {"event_id": "1", "content": "gdp GDP"}, {"event_id": "1", "content": "gdp"}, {"event_id": None, "content": "gdp"})
+    began = time.monotonic()
+    found = sorted((str(r.event_id), r.keyword) for r in terms.find_terms(df, {"a": ["inflation", "gdp"]}).collect())
+    assert found == [("0", "inflation"), ("1", "gdp"), ("1", "gdp"), ("None", "gdp")] and time.monotonic() - began < 30
