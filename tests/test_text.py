@@ -1,7 +1,9 @@
 import datetime
 import hashlib
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidewire.operators import enrich, intel, nlp
@@ -159,3 +161,22 @@ def test_watchlist_counts_and_scores(make_articles):
 def test_episodes(make_articles):
     row = one(intel.project_episodes(make_articles({"title": None, "description": "D"}), "p"))
     assert (row.title, row.summary, row.sectors, row.source, row.pipeline_name) == ("news_article", "D", [], "pipeline", "p")
+
+
+def test_hashed_vectors_hold_few_tokens_at_once():
+    """Memory is bounded by steps, not by a batch of texts or one long text."""
+    rnd = np.random.default_rng(1)
+    lengths = [0, 3, 1_000_000, 0, 1, *rnd.integers(0, 400, 3000).tolist()]
+    flat = rnd.integers(0, 16, sum(lengths)).astype(np.int32)
+    bounds = np.cumsum([0, *lengths]).astype(np.int32)
+    slots = pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat)).slice(1)
+    tracemalloc.start()
+    (got,) = nlp._hashed_vectors(8).func(iter([slots]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    got = np.array(got.to_pylist(), np.float32)
+    for i, (a, b) in enumerate(zip(bounds[1:], bounds[2:])):
+        want = np.bincount(flat[a:b] % 8, np.where(flat[a:b] >= 8, -1.0, 1.0), 8)
+        norm = np.linalg.norm(want)
+        assert np.array_equal(got[i], (want / norm if norm else want * 0).astype(np.float32))
+    assert len(got) == len(lengths) - 1 and peak < 16 << 20

@@ -14,6 +14,8 @@ from pyspark.sql import types as T
 from tidewire.functions import lexicons as lx
 from tidewire.functions import text as t
 
+EMBEDDED_ROWS, EMBEDDED_TOKENS = 512, 1 << 16  # texts and tokens that a task's arithmetic holds at once
+
 
 def sentiment_of(body: Column, positive: Iterable[str], negative: Iterable[str]) -> Column:
     """Struct score/label/positive_words/negative_words of a text.
@@ -98,18 +100,20 @@ def _hashed_vectors(dim: int):
     def vectors(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for slots in batches:
             n = len(slots)
-            flat = slots.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            lengths = np.diff(slots.offsets.to_numpy())
-            rows = np.repeat(np.arange(n), lengths)
-            sign = np.where(flat >= dim, -1.0, 1.0)
-            cells = rows * dim + flat % dim
-            out = np.bincount(cells, weights=sign, minlength=n * dim).astype(np.float64).reshape(n, dim)
-            norm = np.linalg.norm(out, axis=1, keepdims=True)
-            out = np.divide(out, norm, out=np.zeros_like(out), where=norm > 0)
+            done = np.empty((n, dim), np.float32)
+            for row in range(0, n, EMBEDDED_ROWS):
+                part = slots.slice(row, EMBEDDED_ROWS)
+                flat, bounds = part.flatten().to_numpy(zero_copy_only=False), part.offsets.to_numpy() - part.offsets[0].as_py()
+                out = np.zeros(len(part) * dim)
+                for at in range(0, len(flat), EMBEDDED_TOKENS):  # signs are whole numbers: their sums do not depend on the steps
+                    some = flat[at : at + EMBEDDED_TOKENS].astype(np.int64)
+                    owner = np.searchsorted(bounds, np.arange(at, at + len(some)), "right") - 1
+                    out += np.bincount(owner * dim + some % dim, weights=np.where(some >= dim, -1.0, 1.0), minlength=len(out))
+                out = out.reshape(len(part), dim)
+                norm = np.linalg.norm(out, axis=1, keepdims=True)
+                done[row : row + len(part)] = np.divide(out, norm, out=np.zeros_like(out), where=norm > 0)
             offsets = np.arange(0, (n + 1) * dim, dim, dtype=np.int32)
-            yield pa.ListArray.from_arrays(
-                pa.array(offsets), pa.array(out.astype(np.float32).ravel())
-            )
+            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(done.ravel()))
 
     return vectors
 
