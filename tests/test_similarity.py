@@ -1,4 +1,7 @@
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidewire.operators import similarity
@@ -123,3 +126,20 @@ def test_analogs(spark):
         ("European Debt Crisis 2011", 1.0), ("2008 Financial Crisis", 0.82), ("Tech Bubble 2000", 0.72),
         ("Russia-Ukraine War 2022", 0.66), ("Brexit Vote 2016", 0.66),
     ]
+
+
+def test_search_holds_few_scores_at_once():
+    """Memory is bounded by blocks, not by a batch of the corpus times the queries."""
+    rnd = np.random.default_rng(5)
+    c, q = rnd.standard_normal((20_000, 16)), similarity.unit(rnd.standard_normal((500, 16)))
+    ids = [str(i) for i in range(len(c))]
+    batches = [pa.RecordBatch.from_arrays([pa.array(ids[i : i + 10_000]), pa.array(list(c[i : i + 10_000]))], ["id", "vec"]) for i in (0, 10_000)]
+    tracemalloc.start()
+    (found,) = similarity._search(iter(batches), np.array(ids[:500]), q, 5, False)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    micro = np.rint(q @ similarity.unit(c).T * 1e6)
+    got = list(zip(found.column(0).to_pylist(), found.column(1).to_pylist(), found.column(2).to_pylist()))
+    best = -np.sort(-micro, axis=1)[:, :5] / 1e6
+    assert [s for *_, s in sorted(got, key=lambda r: (int(r[0]), -r[2]))] == best.ravel().tolist()
+    assert peak < 64 << 20

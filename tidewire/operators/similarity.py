@@ -18,8 +18,9 @@ from tidewire.session import cut_lineage
 BROADCAST_BYTES = 8 * 1024 * 1024
 BLOCK_ROWS = 4096  # query rows of a block
 CORPUS_BLOCK_ROWS = 65536
-SCORE_CELLS = 4_000_000  # scores held at once while a block is ranked
-HELD_HITS = 1_000_000  # hits a task gathers before it cuts them to the best
+SCORE_CELLS = 500_000  # scores held at once while a block is ranked
+SCORE_ROWS = 4096  # corpus rows of which a task holds vectors of full precision
+HELD_HITS = 100_000  # hits a task gathers before it cuts them to the best
 HOT_BUCKET = 50_000  # corpus rows of a hash bucket that one task joins
 
 HITS = "query_id string, hit_id string, score double"
@@ -66,16 +67,18 @@ def best_per_query(
 
 
 class _BestSoFar:
-    """The ``k`` best hits of each query that a task has met."""
+    """The ``k`` best hits of each query that a task has met; hits that the last cut shows to be worse are not taken."""
 
     def __init__(self, q_ids: np.ndarray, k: int):
         self.q_ids, self.k = q_ids, k
+        self.floor = np.full(len(q_ids), -np.inf)
         self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         self.held = 0
 
     def add(self, part: tuple[np.ndarray, np.ndarray, np.ndarray]) -> None:
-        self.parts.append(part)
-        self.held += len(part[0])
+        able = part[2] >= self.floor[part[0]]
+        self.parts.append(tuple(x[able] for x in part))
+        self.held += int(able.sum())
         if self.held > max(HELD_HITS, 2 * self.k * len(self.q_ids)):
             self.cut()
 
@@ -86,6 +89,8 @@ class _BestSoFar:
         head = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]])) if len(rows) else np.empty(0, int)
         place = np.arange(len(rows)) - np.repeat(head, np.diff(np.append(head, len(rows))))
         kept = place < self.k
+        last = place == self.k - 1
+        self.floor[rows[last]] = scores[last]
         self.parts, self.held = [(rows[kept], ids[kept], scores[kept])], int(kept.sum())
 
     def batch(self) -> pa.RecordBatch:
@@ -93,7 +98,7 @@ class _BestSoFar:
             self.cut()
         rows, ids, scores = self.parts[0] if self.parts else (np.empty(0, int), np.empty(0, "U1"), np.empty(0))
         return pa.RecordBatch.from_arrays(
-            [pa.array(self.q_ids[rows].tolist(), pa.string()), pa.array(ids.tolist(), pa.string()), pa.array(scores, pa.float64())],
+            [pa.array(self.q_ids[rows], pa.string()), pa.array(ids, pa.string()), pa.array(scores, pa.float64())],
             names=["query_id", "hit_id", "score"],
         )
 
@@ -120,14 +125,14 @@ def _search(batches: Iterator[pa.RecordBatch], q_ids, q, k, skip_self) -> Iterat
     """Best hits of a task: one list per query, whatever the number of batches."""
     best = _BestSoFar(q_ids, k)
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        c_ids = np.array(batch.column(0).to_pylist(), dtype=str)
-        c = unit(matrix_of(batch.column(1)))
-        step = max(1, SCORE_CELLS // len(c_ids))
-        for at in range(0, len(q_ids), step):
-            rows, ids, scores = best_per_query(q_ids[at : at + step], q[at : at + step], c_ids, c, k, skip_self)
-            best.add((rows + at, ids, scores))
+        for start in range(0, batch.num_rows, SCORE_ROWS):
+            part = batch.slice(start, SCORE_ROWS)
+            c_ids = np.array(part.column(0).to_pylist(), dtype=str)
+            c = unit(matrix_of(part.column(1)))
+            step = max(1, SCORE_CELLS // len(c_ids))
+            for at in range(0, len(q_ids), step):
+                rows, ids, scores = best_per_query(q_ids[at : at + step], q[at : at + step], c_ids, c, k, skip_self)
+                best.add((rows + at, ids, scores))
     yield best.batch()
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire.operators.similarity import (
-    BROADCAST_BYTES, HITS, SCORE_CELLS, _BestSoFar, _keep_best, _two_columns, best_per_query, matrix_of, top_k, unit,
+    BROADCAST_BYTES, HITS, SCORE_CELLS, SCORE_ROWS, _BestSoFar, _keep_best, _search, _two_columns, best_per_query, matrix_of, top_k, unit,
 )
 from tidewire.session import cut_lineage
 
@@ -78,11 +78,10 @@ def _assigned(vectors: DataFrame, centroids: np.ndarray) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            found = unit(matrix_of(batch.column(1)))
-            cell, angle = np.empty(len(found), np.int32), np.empty(len(found))
+            cell, angle = np.empty(batch.num_rows, np.int32), np.empty(batch.num_rows)
             step = max(1, SCORE_CELLS // len(centroids))
-            for at in range(0, len(found), step):
-                angles = _angles(found[at : at + step], centroids)
+            for at in range(0, batch.num_rows, step):
+                angles = _angles(unit(matrix_of(batch.column(1).slice(at, step))), centroids)
                 cell[at : at + step] = angles.argmin(1)
                 angle[at : at + step] = angles.min(1)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell), pa.array(angle)], names=["id", "vec", "cell", "angle"])
@@ -201,7 +200,8 @@ def _score_shipped(vectors: DataFrame, ids: np.ndarray, q: np.ndarray, of_cell:
             cell = batch.column(2).to_numpy()
             order = np.argsort(cell, kind="stable")
             edge = np.flatnonzero(np.diff(cell[order], prepend=-1)) if len(order) else []
-            for rows in np.split(order, edge[1:]) if len(order) else ():
+            blocks = np.split(order, edge[1:]) if len(order) else []
+            for rows in (b[i : i + SCORE_ROWS] for b in blocks for i in range(0, len(b), SCORE_ROWS)):
                 part = batch.take(pa.array(rows))
                 c_ids, c = np.array(part.column(0).to_pylist(), dtype=str), unit(matrix_of(part.column(1)))
                 asking = of_cell[int(cell[rows[0]])]
@@ -233,13 +233,7 @@ def _score_joined(pairs: DataFrame, vectors: DataFrame, index: VectorIndex, aske
         if not asking.num_rows or not held.num_rows:
             return empty.empty_table()
         ids, q = np.array(asking.column("id").to_pylist(), dtype=str), unit(matrix_of(asking.column("vec")))
-        c_ids, c = np.array(held.column("id").to_pylist(), dtype=str), unit(matrix_of(held.column("vec")))
-        best = _BestSoFar(ids, k)
-        step = max(1, SCORE_CELLS // len(c_ids))
-        for at in range(0, len(ids), step):
-            rows, hit_ids, scores = best_per_query(ids[at : at + step], q[at : at + step], c_ids, c, k, skip_self)
-            best.add((rows + at, hit_ids, scores))
-        return pa.Table.from_batches([best.batch()])
+        return pa.Table.from_batches(_search(iter(held.select(["id", "vec"]).to_batches()), ids, q, k, skip_self))
 
     keys = ("cell", "block", "part")
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, HITS)
@@ -252,7 +246,7 @@ def _round(pairs: DataFrame, index: VectorIndex, n: int, dim: int, k: int, skip_
         ids, q = np.array(known.column("id").to_pylist(), dtype=str), unit(matrix_of(known.column("vec")))
         cells = [np.array(c, np.int64) for c in known.column("cells").to_pylist()]
         flat = np.concatenate([np.empty(0, np.int64), *cells])
-        owner = np.repeat(np.arange(len(cells)), [len(c) for c in cells])
+        owner = np.repeat(np.arange(len(cells), dtype=np.int32), [len(c) for c in cells])
         of_cell = {int(c): owner[flat == c] for c in np.unique(flat)}
         return _score_shipped(_read(spark, index, sorted(of_cell)), ids, q, of_cell, k, skip_self)
     cells = [r.cell for r in pairs.select(F.explode("cells").alias("cell")).distinct().collect()]  # a row per cell at most
