@@ -3,6 +3,7 @@ import json
 import random
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -119,6 +120,34 @@ def test_keys_are_forgotten_after_their_time(land, spark, make_articles):
     assert spark.read.parquet(out).count() == 2
 
 
+def test_keyed_dedup_takes_plain_rows():
+    """One row is held, nulls are least, and a known key's rows are not looked at."""
+    class State:
+        kept = None
+        exists = lambda self: self.kept is not None
+        def update(self, value): self.kept = value
+
+    first = keyed.FirstSeen(1, ("event_ts", "event_id"))
+    first.first = State()
+    t0 = datetime.datetime(2024, 1, 1)
+    rows = [Row(event_ts=t0, event_id="b"), Row(event_ts=None, event_id="c"), Row(event_ts=None, event_id="a"), Row(event_ts=t0, event_id=None)]
+    assert list(first.handleInputRows(("k",), iter(rows), None)) == [rows[2]] and first.first.kept == (None, "a")
+    assert list(first.handleInputRows(("k",), iter(rows), None)) == []
+
+
+def test_keyed_dedup_of_a_key_longer_than_an_arrow_batch(land, spark):
+    t0 = datetime.datetime(2024, 1, 1, 12, 30, 15, 123456)
+    rows = [{"event_id": f"h{i:02}", "title": "hot", "event_ts": t0 - datetime.timedelta(minutes=i)} for i in range(40)] + [{"event_id": "n", "title": None, "url": None}]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        with keyed.settings(spark):
+            got = {r.event_id: r.event_ts for r in streams.drain(keyed.dedup_stream_keyed(land(rows)), "t").select("event_id", F.col("event_ts").cast("string").alias("event_ts")).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert set(got) == {"h39", "n"} and got["h39"] == "2024-01-01 11:51:15.123456"
+
+
 def test_sliding_windows_are_made_of_daily_sums(land, spark):
     """Windows of seven days from daily sums hold what each row in all its windows gives."""
     day, t0 = datetime.timedelta(days=1), datetime.datetime(2024, 1, 1, 12)
